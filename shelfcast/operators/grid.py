@@ -2,12 +2,13 @@
 
 The grid is as large as its three lists multiplied, so nothing is joined or
 shuffled once it exists. Work happens on one row per shop x item, which carries
-its few months with sales as a map; the months are laid out from that row last.
+its few months with sales as a map, then all months as arrays; the months become
+rows last.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,25 +67,24 @@ def pack_history(
     )
 
 
-def lay_out_periods(entities: DataFrame, periods: Column, spec: PanelSpec, first: int = 0) -> DataFrame:
-    """Each entity once for each month from position ``first`` on; ``slot`` is the position."""
-    carried = [c for c in entities.columns if c != "periods"]
-    rows = entities.withColumn("periods", periods).select(*carried, "periods", F.posexplode("periods").alias("slot", spec.period))
-    return rows.where(F.col("slot") >= first) if first else rows
+def dense(history: str, value: Callable[[Column], Column]) -> Column:
+    """One array entry per month of ``periods``, from the map entry of that month or null."""
+    return F.transform("periods", lambda month: value(F.try_element_at(history, month)))
 
 
-def month_back(history: str, step: int = 0) -> Column:
-    """The map entry of ``step`` positions earlier; null without sales or before the first month."""
-    month = F.try_element_at("periods", F.col("slot") + F.lit(1 - step))
-    entry = F.try_element_at(history, month)
-    return F.when(F.col("slot") >= step, entry) if step else entry
+def lay_out_periods(entities: DataFrame, spec: PanelSpec, first: int = 0) -> DataFrame:
+    """Each entity once for each month of ``periods`` from position ``first`` on; ``slot`` is the position."""
+    carried = [c for c in entities.columns if c != "periods"]
+    rows = entities.select(*carried, F.posexplode("periods").alias("slot", spec.period))
+    return rows.where(F.col("slot") >= first) if first else rows
 
 
 def dense_grid(shops: DataFrame, items: DataFrame, facts: DataFrame, spec: PanelSpec = PanelSpec(), other: str | None = None) -> DataFrame:
     """All shop x item (or, with ``other``, shop x category) x month combinations."""
     other = other or spec.item
     entities = entity_grid(shops, items.select(other).distinct(), spec)
-    return lay_out_periods(entities, period_list_of(facts, spec), spec).select(spec.shop, other, spec.period)
+    dated = entities.withColumn("periods", period_list_of(facts, spec))
+    return lay_out_periods(dated, spec).select(spec.shop, other, spec.period)
 
 
 def period_list_of(facts: DataFrame, spec: PanelSpec) -> Column:
@@ -106,7 +106,8 @@ def densify_zero_sales(
     values = [c for c in monthly.columns if c not in (*keys, spec.period)]
     history = pack_history(monthly, keys, {c: F.col(c) for c in values}, spec)
     entities = entity_grid(shops, items.select(other).distinct(), spec).join(history, keys, "left")
-    rows = lay_out_periods(entities, period_list_of(monthly, spec), spec)
-    cell = month_back("history")
-    filled = [F.coalesce(cell[c], F.lit(0.0)) if c == spec.amount else cell[c] for c in values]
-    return rows.select(spec.period, *keys, *[v.alias(c) for c, v in zip(values, filled)])
+    dated = entities.withColumn("periods", period_list_of(monthly, spec))
+    filled = {c: (lambda cell, c=c: F.coalesce(cell[c], F.lit(0.0)) if c == spec.amount else cell[c]) for c in values}
+    arrays = dated.select(*keys, "periods", *[dense("history", value).alias(c) for c, value in filled.items()])
+    rows = lay_out_periods(arrays, spec)
+    return rows.select(spec.period, *keys, *[F.get(c, F.col("slot")).alias(c) for c in values])

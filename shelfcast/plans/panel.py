@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.cleaning import clean_transactions
-from shelfcast.operators.grid import entity_grid, lay_out_periods, month_back, pack_history, period_list
+from shelfcast.operators.grid import dense, entity_grid, lay_out_periods, pack_history, period_list
 from shelfcast.operators.monthly import item_categories, keyed, monthly_facts, rolled_mean_prices, rolled_price
 from shelfcast.operators.prices import FALLBACKS, price_level
 from shelfcast.operators.enrich import handle_dates
@@ -22,7 +22,7 @@ from shelfcast.spec import PanelSpec
 def panel_entities(
     facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec(), price_facts: DataFrame | None = None
 ) -> DataFrame:
-    """One row per shop x item: its months with sales, those of its category, its substitute prices.
+    """One row per shop x item: its months with sales, the totals of its category, its substitute prices.
 
     ``price_facts`` limits the substitute prices to other facts than the panel's,
     such as those before the validation months; by default they look at all months.
@@ -49,25 +49,41 @@ def panel_entities(
         .groupBy(*category_keys, spec.period)
         .agg(F.sum(spec.amount).alias(spec.amount))
     )
-    category_history = pack_history(category_months, category_keys, {"amount": F.col(spec.amount)}, spec)
+    periods = period_list(facts, spec)
+    category_totals = (
+        pack_history(category_months, category_keys, {"amount": F.col(spec.amount)}, spec)
+        .withColumn("periods", periods)
+        .select(*category_keys, dense("history", lambda cell: F.coalesce(cell["amount"], F.lit(0.0))).alias("totals"))
+    )
     return (
         entity_grid(shops, catalogue, spec)
         .join(history, spec.entity, "left")
-        .join(category_history.withColumnRenamed("history", "category_history"), category_keys, "left")
-        .withColumn("price_global", rolled_mean_prices(priced, [], "price_global", spec).scalar())
+        .join(category_totals, category_keys, "left")
+        .withColumns({"price_global": rolled_mean_prices(priced, [], "price_global", spec).scalar(), "periods": periods})
+    )
+
+
+def _rows(entities: DataFrame, spec: PanelSpec, first: int = 0) -> DataFrame:
+    """Months as arrays with all gaps filled, then as rows."""
+    arrays = {
+        "prices": dense("history", lambda cell: F.coalesce(cell["price"], *FALLBACKS)),
+        "amounts": dense("history", lambda cell: F.coalesce(cell["amount"], F.lit(0.0))),
+        "levels": dense("history", lambda cell: price_level(cell["price"])),
+    }
+    filled = entities.select(
+        *spec.entity, spec.category, "periods", "totals", *[v.alias(c) for c, v in arrays.items()]
     )
+    return lay_out_periods(filled, spec, first)
 
 
 def _measures(spec: PanelSpec, step: int = 0) -> dict[str, Column]:
-    own, total = month_back("history", step), month_back("category_history", step)
-    values = {
-        spec.price: F.coalesce(own["price"], *FALLBACKS),
-        spec.amount_item: F.coalesce(own["amount"], F.lit(0.0)),
-        spec.amount_cat: F.coalesce(total["amount"], F.lit(0.0)),
+    """The measures of ``step`` months earlier: an array position, so no row has to be found for it."""
+    position = F.col("slot") - step
+    return {
+        spec.price: F.get("prices", position),
+        spec.amount_item: F.get("amounts", position),
+        spec.amount_cat: F.coalesce(F.get("totals", position), F.lit(0.0)),
     }
-    if not step:
-        return values
-    return {c: F.when(F.col("slot") >= step, v) for c, v in values.items()}
 
 
 def _base(spec: PanelSpec) -> list[Column]:
@@ -88,8 +104,8 @@ def monthly_panel(
     price_facts: DataFrame | None = None,
 ) -> DataFrame:
     """Every shop x item x month with price, amounts and calendar columns."""
-    rows = lay_out_periods(panel_entities(facts, items, shops, spec, price_facts), period_list(facts, spec), spec)
-    level = [price_level(month_back("history")["price"]).alias("price_level")] if with_level else []
+    rows = _rows(panel_entities(facts, items, shops, spec, price_facts), spec)
+    level = [F.get("levels", F.col("slot")).alias("price_level")] if with_level else []
     return rows.select(*_base(spec), *level)
 
 
@@ -102,13 +118,10 @@ def feature_panel(
 ) -> DataFrame:
     """The monthly panel with lags and moving averages, from the first month that has them all.
 
-    A lag is another look into the same entity's map, so no row is sorted or
-    shuffled for it. The moving average ends at the previous month and is
-    therefore the mean of the first lags.
+    No row is sorted or shuffled for a lag. The moving average ends at the
+    previous month and is therefore the mean of the first lags.
     """
-    rows = lay_out_periods(
-        panel_entities(facts, items, shops, spec, price_facts), period_list(facts, spec), spec, first=spec.lags
-    )
+    rows = _rows(panel_entities(facts, items, shops, spec, price_facts), spec, first=spec.lags)
     lags = [
         _measures(spec, step)[c].alias(spec.lag(c, step)) for c in spec.measures for step in range(1, spec.lags + 1)
     ]

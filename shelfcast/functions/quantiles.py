@@ -2,71 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 256
+ACCURACY = 10000
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, value, n)`` of all non-null values, counted map-side before the shuffle."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    return (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .select("cell.*")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def cells(df: DataFrame, columns: Sequence[str], **more: dict[str, Column]) -> DataFrame:
+    """``(column, value)`` of all non-null values; ``more`` adds a field chosen by column."""
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), *[by[c].alias(n) for n, by in more.items()])
+        for c in columns
+    ]
+    return df.select(F.explode(F.array(*rows)).alias("cell")).select("cell.*").where(F.col("value").isNotNull())
+
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, n)``, counted map-side before the shuffle."""
+    return cells(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], levels: list[float]) -> DataFrame:
+def _cuts(df: DataFrame, columns: Sequence[str], levels: Sequence[float]) -> dict[str, Column]:
+    """Approximate values just below and just above each quantile, by column."""
+    near = sorted({min(max(q + side * 5 / ACCURACY, 0.0), 1.0) for q in levels for side in (-1, 1)})
+    estimates = [F.percentile_approx(F.col(c).cast("double"), near, ACCURACY).alias(c) for c in columns]
+    cuts = df.agg(F.struct(*estimates).alias("cuts")).scalar()
+    return {c: cuts[c] for c in columns}
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], levels: Sequence[float]) -> DataFrame:
     """``(column, level, quantile)`` with linear interpolation, exact at any size.
 
-    Values are counted first, so a value that fills a third of the table is one
-    row afterwards. The distinct values are then cut into ranges of about equal
-    length; the totals of the ranges give each value its rank, and the running
-    count inside a range is a window over that range alone.
+    Estimates cut each column into a few ranges, narrow around every quantile.
+    Exact row counts of the ranges tell which one holds the wanted rank; only the
+    values of those ranges are counted and ranked. A poor estimate makes a range
+    longer, never the result wrong, and a value that fills a third of the column
+    is one row by the time it is ranked. Broadcast are the ranks looked for, at
+    most two per column and level.
     """
-    counts = value_counts(df, columns)
-    steps = [i / SPLITS for i in range(1, SPLITS)]
-    splits = counts.groupBy("column").agg(F.percentile_approx("value", steps, 10000).alias("splits"))
-    ranged = counts.join(splits, "column").select(
-        "column", "value", "n", F.size(F.filter("splits", lambda s: s <= F.col("value"))).alias("range")
-    )
-    by_column = Window.partitionBy("column").orderBy("range")
-    offsets = (
+    cuts = _cuts(df, columns, levels)
+    n_cuts = 2 * len(set(levels))
+    above = [F.coalesce((F.col("value") >= F.get("cuts", F.lit(i))).cast("int"), F.lit(0)) for i in range(n_cuts)]
+    ranged = cells(df, columns, cuts=cuts).select("column", "value", reduce(add, above).alias("range"))
+
+    in_order = Window.partitionBy("column").orderBy("range")
+    ranges = (
         ranged.groupBy("column", "range")
-        .agg(F.sum("n").alias("range_n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "column",
             "range",
-            (F.sum("range_n").over(by_column) - F.col("range_n")).alias("before"),
-            F.sum("range_n").over(Window.partitionBy("column")).alias("total"),
+            "n",
+            (F.sum("n").over(in_order) - F.col("n")).alias("before"),
+            F.sum("n").over(Window.partitionBy("column")).alias("total"),
         )
+        .withColumn("level", F.explode(F.array(*[F.lit(float(q)) for q in levels])))
+        .withColumn("position", F.col("level") * (F.col("total") - 1))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))))
+    )
+    sought = ranges.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))).select(
+        "column", "range", "level", "position", "rank", (F.col("rank") - F.col("before")).alias("within")
     )
-    inside = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    held = ranged.join(F.broadcast(sought.select("column", "range").distinct()), ["column", "range"], "left_semi")
+    by_value = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        ranged.withColumn("within", F.sum("n").over(inside))
-        .join(offsets, ["column", "range"])
-        .select(
-            "column",
-            "value",
-            "total",
-            (F.col("before") + F.col("within") - F.col("n")).alias("first"),
-            (F.col("before") + F.col("within") - 1).alias("last"),
-        )
+        held.groupBy("column", "range", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("end", F.sum("n").over(by_value))
+        .join(F.broadcast(sought), ["column", "range"])
+        .where((F.col("within") < F.col("end")) & (F.col("within") >= F.col("end") - F.col("n")))
     )
-    position = F.col("level") * (F.col("total") - 1)
-
-    def at(rank):
-        return F.max(F.when(F.col("first").__le__(rank) & F.col("last").__ge__(rank), F.col("value")))
-
-    low, high = F.floor(position), F.ceil(position)
-    return (
-        ranked.withColumn("level", F.explode(F.array(*[F.lit(float(q)) for q in levels])))
-        .where((F.col("last") >= low) & (F.col("first") <= high))
-        .groupBy("column", "level")
-        .agg(at(low).alias("low"), at(high).alias("high"), F.max(position - low).alias("part"))
-        .select("column", "level", (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("quantile"))
+    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
+    return ranked.groupBy("column", "level").agg(
+        (low + (high - low) * (F.max("position") - F.floor(F.max("position")))).alias("quantile")
     )

@@ -67,14 +67,17 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def boxplot_stats(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
-    """One row per column: quartiles, the ends of the whiskers, and the number of points beyond."""
+    """One row per column: quartiles, the ends of the whiskers, and the number of points beyond.
+
+    The quartiles are broadcast: one row for each column named.
+    """
     quartiles = _quartiles(df, columns)
     value, spread = F.col("value"), F.col("q75") - F.col("q25")
     low, high = F.col("q25") - reach * spread, F.col("q75") + reach * spread
     inside = value.between(low, high)
     return (
         value_counts(df, list(columns))
-        .join(quartiles, "column")
+        .join(F.broadcast(quartiles), "column")
         .groupBy("column", "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, value)).alias("whisker_low"),

@@ -9,12 +9,13 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.scalars import mean_price
 from shelfcast.operators.cleaning import clean_transactions
+from shelfcast.operators.enrich import handle_dates
 from shelfcast.operators.grid import dense, entity_grid, lay_out_periods, pack_history, period_list
 from shelfcast.operators.monthly import item_categories, keyed, monthly_facts, rolled_mean_prices, rolled_price
 from shelfcast.operators.prices import FALLBACKS, price_level
-from shelfcast.operators.enrich import handle_dates
-from shelfcast.functions.scalars import mean_price
+from shelfcast.operators.splits import clean_by_strategy
 from shelfcast.sources.stages import StageStore
 from shelfcast.spec import PanelSpec
 
@@ -192,3 +193,25 @@ class PanelBuilder:
             [self.spec.period],
             refresh or refresh_facts,
         ).select(*self.spec.panel_columns)
+
+    def split_features(self, strategy: str = "random", keys: list[str] | None = None, refresh: bool = False) -> dict[str, DataFrame]:
+        """Feature panels of the train and validation sales, with outliers left in the latter.
+
+        Each part has its own months, grid and prices, so neither sees the other's sales.
+        """
+        daily = handle_dates(self.tables["transaction"], self.spec)
+        items, shops = self.tables["item_list"], self.tables["shop_list"]
+        settings = self._base_settings | self.settings("lags", "val_ratio", "seed") | {"strategy": strategy, "keys": keys}
+        panels = {}
+        for name, sales in clean_by_strategy(daily, "no_olrem_for_val", strategy, self.spec, keys).items():
+            facts = self.store.table(
+                f"{name}_facts", settings, lambda sales=sales: monthly_facts(sales, items, self.spec), refresh=refresh
+            )
+            panels[name] = self.store.table(
+                f"{name}_features",
+                settings,
+                lambda facts=facts: feature_panel(facts, items, shops, self.spec),
+                [self.spec.period],
+                refresh,
+            ).select(*self.spec.panel_columns)
+        return panels

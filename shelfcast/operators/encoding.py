@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.scalars import cyclic, hash_value
-from shelfcast.session import enable_checkpoints
+from shelfcast.session import written_down
 from shelfcast.spec import PanelSpec
 
 # The prefixes of encoded column names.
@@ -126,15 +126,15 @@ class LabelMeanEncoder(Estimator, HasInputCols, HasLabelCol, DefaultParamsReadab
         return df.agg(n, total).select((F.col("total") / F.col("n")).alias("mean"))
 
     def _fit(self, df: DataFrame) -> LabelMeanEncoderModel:
-        enable_checkpoints(df.sparkSession)
         model = LabelMeanEncoderModel(inputCols=self.getInputCols(), labelMean=self.label_mean(df).first()["mean"])
-        model.table = self.encodings(df).checkpoint()
+        model.table = written_down(self.encodings(df))
         return model
 
     def crossfit(self, df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
         """Encode training rows from the rows of the other folds, so that no row sees its own label.
 
-        The other folds' sums are the totals less the fold's own: one pass, not one per fold.
+        The other folds' sums are the totals less the fold's own: one pass, not one per fold. The
+        resulting codes, one per category and fold, are written down before they are joined by column.
         """
         label = F.col(self.getLabelCol())
         sums = ["n", "total", "squares"]
@@ -155,6 +155,7 @@ class LabelMeanEncoder(Estimator, HasInputCols, HasLabelCol, DefaultParamsReadab
         coded = others.join(rest, "fold").select(
             "feature", "value", "fold", F.when(F.col("n") > 0, code).otherwise(F.col("rest_mean")).alias("encoding")
         )
+        coded = written_down(coded)
         for c in self.getInputCols():
             one = coded.where(F.col("feature") == c).select(F.col("value").alias(c), "fold", F.col("encoding").alias(ENCODED + c))
             df = df.join(one, [c, "fold"], "left")
@@ -230,9 +231,9 @@ def scaled_stages(spec: PanelSpec = PanelSpec()) -> list:
     waves = [w + c for c in roles.seasonal for w in (SIN, COS)]
     inputs = [*[ENCODED + c for c in roles.categorical], *waves, *[SCALED + c for c in roles.numeric]]
     return [
-        LabelMeanEncoder(inputCols=roles.categorical),
         *[CyclicEncoder(inputCol=c, period=12) for c in roles.seasonal],
         RangeScaler(inputCols=roles.numeric),
+        LabelMeanEncoder(inputCols=roles.categorical),
         VectorAssembler(inputCols=inputs, outputCol="features"),
     ]
 

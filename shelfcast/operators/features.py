@@ -8,12 +8,13 @@ without it while the panel is being made.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfcast.functions.scalars import next_month
-from shelfcast.plans.panel import lag_averages
 from shelfcast.spec import PanelSpec
 
 
@@ -51,6 +52,16 @@ def lag_features(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     return feature_lags(df, spec.measures, spec)
 
 
+def lag_averages(spec: PanelSpec) -> list[Column]:
+    """Mean of the ``window`` latest lags of each measure; null when one of them is."""
+    return [
+        (reduce(add, [F.col(spec.lag(c, i)) for i in range(1, spec.window + 1)]) / F.lit(float(spec.window))).alias(
+            spec.average(spec.lag(c, 1))
+        )
+        for c in spec.measures
+    ]
+
+
 def moving_average_features(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """Means of the latest lags: the frame of ``_l1`` values is the row's own lag columns."""
     return df.select("*", *lag_averages(spec))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import asdict
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.scalars import mean_price
 from shelfcast.operators.cleaning import clean_transactions
 from shelfcast.operators.enrich import handle_dates
+from shelfcast.operators.features import lag_averages
 from shelfcast.operators.grid import dense, entity_grid, lay_out_periods, pack_history, period_list
 from shelfcast.operators.monthly import item_categories, keyed, monthly_facts, rolled_mean_prices, rolled_price
 from shelfcast.operators.prices import FALLBACKS, price_level
@@ -129,16 +128,6 @@ def feature_panel(
     return rows.select(*_base(spec), *lags).select("*", *lag_averages(spec))
 
 
-def lag_averages(spec: PanelSpec) -> list[Column]:
-    """Mean of the ``window`` latest lags of each measure; null when one of them is."""
-    return [
-        (reduce(add, [F.col(spec.lag(c, i)) for i in range(1, spec.window + 1)]) / F.lit(float(spec.window))).alias(
-            spec.average(spec.lag(c, 1))
-        )
-        for c in spec.measures
-    ]
-
-
 class PanelBuilder:
     """Builds the stages of one set of raw tables: facts, base panel, feature panel.
 
@@ -156,12 +145,12 @@ class PanelBuilder:
         return {"source": self.source, "method": self.method} | {k: v for k, v in asdict(self.spec).items() if k in names}
 
     @property
-    def _fact_settings(self) -> dict:
+    def fact_settings(self) -> dict:
         return self.settings("shop", "item", "category", "date", "period", "price", "amount", "price_decimals")
 
     @property
-    def _base_settings(self) -> dict:
-        return self._fact_settings | self.settings("calendar_periods")
+    def base_settings(self) -> dict:
+        return self.fact_settings | self.settings("calendar_periods")
 
     def cleaned(self) -> DataFrame:
         return clean_transactions(handle_dates(self.tables["transaction"], self.spec), method=self.method)
@@ -169,7 +158,7 @@ class PanelBuilder:
     def facts(self, refresh: bool = False) -> DataFrame:
         return self.store.table(
             "facts",
-            self._fact_settings,
+            self.fact_settings,
             lambda: monthly_facts(self.cleaned(), self.tables["item_list"], self.spec),
             refresh=refresh,
         )
@@ -177,7 +166,7 @@ class PanelBuilder:
     def base(self, refresh: bool = False) -> DataFrame:
         return self.store.table(
             "base",
-            self._base_settings,
+            self.base_settings,
             lambda: monthly_panel(self.facts(refresh), self.tables["item_list"], self.tables["shop_list"], self.spec),
             [self.spec.period],
             refresh,
@@ -186,7 +175,7 @@ class PanelBuilder:
     def features(self, refresh: bool = False, refresh_facts: bool = False) -> DataFrame:
         return self.store.table(
             "features",
-            self._base_settings | self.settings("lags"),
+            self.base_settings | self.settings("lags"),
             lambda: feature_panel(
                 self.facts(refresh_facts), self.tables["item_list"], self.tables["shop_list"], self.spec
             ),
@@ -201,7 +190,7 @@ class PanelBuilder:
         """
         daily = handle_dates(self.tables["transaction"], self.spec)
         items, shops = self.tables["item_list"], self.tables["shop_list"]
-        settings = self._base_settings | self.settings("lags", "val_ratio", "seed") | {"strategy": strategy, "keys": keys}
+        settings = self.base_settings | self.settings("lags", "val_ratio", "seed") | {"strategy": strategy, "keys": keys}
         panels = {}
         for name, sales in clean_by_strategy(daily, "no_olrem_for_val", strategy, self.spec, keys).items():
             facts = self.store.table(

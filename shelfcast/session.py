@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.spec import PanelSpec
 
@@ -31,6 +32,18 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
 
 
+def written_down(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small result by a table in the shared folder.
+
+    Unlike a checkpoint, the files tell Spark their size, by which it decides
+    how to join them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/written/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def grid_tasks(spark: SparkSession, spec: PanelSpec) -> int:
     """Number of tasks the entity grid is spread over before it grows by the periods."""
     if spec.partitions:

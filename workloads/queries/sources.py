@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.enrich import enrich_transactions, entity_pair, handle_dates
-from shelfcast.operators.features import calendar_features, drop_label_columns
+from shelfcast.operators.features import calendar_features, drop_label_columns, last_period_rows
 from shelfcast.functions.scalars import cyclic, period_label, rounded_count, weekday_name
 from shelfcast.plans.forecast import attach_forecast
 from shelfcast.session import shared_dir
@@ -94,9 +94,9 @@ def _(spark, sf_dir):
     "WHERE monthly_period >= DATE '2000-01-01' GROUP BY item_category_id",
 )
 def _(spark, sf_dir):
-    store = builder(spark, sf_dir)
-    store.base()
-    saved = scan_stage(spark, store.store.path("base", store._base_settings))
+    panel = builder(spark, sf_dir)
+    panel.base()
+    saved = scan_stage(spark, panel.store.path("base", panel.base_settings))
     recent = saved.where(F.col("monthly_period") >= F.lit("2000-01-01").cast("date"))
     return recent.groupBy("item_category_id").agg(F.sum("amount_item").alias("amount"))
 
@@ -137,14 +137,15 @@ def _(spark, sf_dir):
 
 def carried_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The naive forecast: next month sells what the last one did."""
-    from shelfcast.operators.features import last_period_rows
-
     last = last_period_rows(builder(spark, sf_dir).features(), SPEC)
     return last.select(F.col("shop_id").alias("shop"), F.col("item_id").alias("item"), F.col("amount_item").alias("amount"))
 
 
-@query("attach_forecast", "SELECT r.shop_id AS shop, r.item_id AS item, f.amount_item AS amount FROM requests r "
-    "LEFT JOIN last_features f ON f.shop_id = r.shop_id AND f.item_id = r.item_id")
+@query(
+    "attach_forecast",
+    "SELECT r.shop_id AS shop, r.item_id AS item, f.amount_item AS amount FROM requests r "
+    "LEFT JOIN last_features f ON f.shop_id = r.shop_id AND f.item_id = r.item_id",
+)
 def _(spark, sf_dir):
     return attach_forecast(raw_tables(spark, sf_dir)["test"], carried_forward(spark, sf_dir), SPEC)
 

@@ -67,7 +67,7 @@ def price_units(spec: PanelSpec) -> Column:
     price = F.col(spec.price)
     if spec.price_decimals is None:
         return price.cast("double")
-    return F.round(price * F.lit(float(10**spec.price_decimals)), 0).cast("bigint")
+    return F.rint(price * F.lit(float(10**spec.price_decimals))).cast("bigint")
 
 
 def mean_price(units: Column, count: Column, spec: PanelSpec) -> Column:

@@ -12,7 +12,7 @@ SCALE = 10000
 
 
 def _scaled(column: str) -> Column:
-    return F.round(F.col(column) * F.lit(float(SCALE)), 0).cast("bigint")
+    return F.rint(F.col(column) * F.lit(float(SCALE))).cast("bigint")
 
 
 def digest(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -26,7 +26,7 @@ def digest(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFram
 
 def digest_sql(source: str, by: Sequence[str], columns: Sequence[str], doubles: Sequence[str]) -> str:
     def scaled(c: str) -> str:
-        return f"CAST(round({c} * {SCALE}.0::DOUBLE) AS BIGINT)"
+        return f"CAST(round_even({c} * {SCALE}.0::DOUBLE, 0) AS BIGINT)"
 
     text = ", ".join(f"coalesce(CAST({scaled(c) if c in doubles else c} AS VARCHAR), '~')" for c in columns)
     sums = "".join(f"CAST(sum({scaled(c)}) AS DOUBLE) / {SCALE}.0::DOUBLE AS sum_{c}, " for c in columns if c in doubles)

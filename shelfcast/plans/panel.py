@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict
+from collections.abc import Callable
+from dataclasses import asdict, replace
+from math import ceil, prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,6 +130,10 @@ def feature_panel(
     return rows.select(*_base(spec), *lags).select("*", *lag_averages(spec))
 
 
+# About 8 GB of feature rows, or 100 MB for each of 80 months.
+CELLS_PER_TASK = 50_000_000
+
+
 class PanelBuilder:
     """Builds the stages of one set of raw tables: facts, base panel, feature panel.
 
@@ -163,11 +169,26 @@ class PanelBuilder:
             refresh=refresh,
         )
 
+    def sized_spec(self, facts: DataFrame) -> PanelSpec:
+        """The spec with enough grid tasks for the panel's size, from the counts of its three lists."""
+        if self.spec.partitions:
+            return self.spec
+        lists = [
+            (self.tables["shop_list"], self.spec.shop),
+            (self.tables["item_list"], self.spec.item),
+            (facts, self.spec.period),
+        ]
+        cells = prod(df.agg(F.count_distinct(F.col(c)).alias("n")).first()["n"] for df, c in lists)
+        return replace(self.spec, partitions=max(facts.sparkSession.sparkContext.defaultParallelism, ceil(cells / CELLS_PER_TASK)))
+
+    def _panel(self, plan: Callable[..., DataFrame], facts: DataFrame) -> DataFrame:
+        return plan(facts, self.tables["item_list"], self.tables["shop_list"], self.sized_spec(facts))
+
     def base(self, refresh: bool = False) -> DataFrame:
         return self.store.table(
             "base",
             self.base_settings,
-            lambda: monthly_panel(self.facts(refresh), self.tables["item_list"], self.tables["shop_list"], self.spec),
+            lambda: self._panel(monthly_panel, self.facts(refresh)),
             [self.spec.period],
             refresh,
         ).select(*self.spec.base_columns)
@@ -176,9 +197,7 @@ class PanelBuilder:
         return self.store.table(
             "features",
             self.base_settings | self.settings("lags"),
-            lambda: feature_panel(
-                self.facts(refresh_facts), self.tables["item_list"], self.tables["shop_list"], self.spec
-            ),
+            lambda: self._panel(feature_panel, self.facts(refresh_facts)),
             [self.spec.period],
             refresh or refresh_facts,
         ).select(*self.spec.panel_columns)
@@ -189,7 +208,7 @@ class PanelBuilder:
         Each part has its own months, grid and prices, so neither sees the other's sales.
         """
         daily = handle_dates(self.tables["transaction"], self.spec)
-        items, shops = self.tables["item_list"], self.tables["shop_list"]
+        items = self.tables["item_list"]
         settings = self.base_settings | self.settings("lags", "val_ratio", "seed") | {"strategy": strategy, "keys": keys}
         panels = {}
         for name, sales in clean_by_strategy(daily, "no_olrem_for_val", strategy, self.spec, keys).items():
@@ -199,7 +218,7 @@ class PanelBuilder:
             panels[name] = self.store.table(
                 f"{name}_features",
                 settings,
-                lambda facts=facts: feature_panel(facts, items, shops, self.spec),
+                lambda facts=facts: self._panel(feature_panel, facts),
                 [self.spec.period],
                 refresh,
             ).select(*self.spec.panel_columns)

@@ -45,7 +45,9 @@ def written_down(df: DataFrame) -> DataFrame:
 
 
 def grid_tasks(spark: SparkSession, spec: PanelSpec) -> int:
-    """Number of tasks the entity grid is spread over before it grows by the periods."""
-    if spec.partitions:
-        return spec.partitions
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    """Number of tasks the entity grid is spread over before it grows by the periods: one per core, or as told.
+
+    Not the number of shuffle partitions: each task writes a file per month, so
+    hundreds of tasks on a small grid would make thousands of tiny files.
+    """
+    return spec.partitions or spark.sparkContext.defaultParallelism

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.minhash import near_duplicates
 from shelfcast.llm.mixing import mix_sources
+from shelfcast.llm.projection import near_vectors
+from shelfcast.llm.quality import judge_quality
+from shelfcast.llm.templates import dedup_lines
+from shelfcast.llm.toxicity import fit_grammar, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +34,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@query("op2_toxic_grammar")
+def op2_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_grammar(docs, table(spark, sf_dir, "labels")))
+    score = F.col("toxicity")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op5_quality_cascade")
+def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
+
+
+@query("op6_line_templates")
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("row.doc_id", F.col("lines").alias("n_lines"), F.col("dropped").alias("n_dropped"), F.col("left").alias("text"))
+
+
+@query("op8_circulant_minhash")
+def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("print")
+
+
+@query("op10_projection_passes")
+def op10_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,28 @@ def saved(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Give the executors this package, which the driver may have from a folder that they don't see."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="llm-code-")), "shelfcast_llm.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder in ("", "llm"):
+            for name in sorted(os.listdir(os.path.join(package, folder))):
+                if name.endswith(".py"):
+                    z.write(os.path.join(package, folder, name), os.path.join(os.path.basename(package), folder, name))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def arrow_rows(spark: SparkSession, rows: int) -> None:
-    """Rows a Python worker gets at once; texts are long, so far fewer than Spark's default."""
+    """Make ready for Python in tasks; ``rows`` go there at once, far fewer than Spark's default as texts are long."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

@@ -42,10 +42,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Running polynomial sums of the bytes, wrapping at 2**64; n + 1 values."""
+    """Running polynomial sums of bytes (or of 64-bit hashes), wrapping at 2**64; n + 1 values."""
+    values = _BYTE_VALUE[data] if data.dtype == np.uint8 else data
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE_VALUE[data] * _power("up", len(data)), out=sums[1:])
+    np.cumsum(values * _power("up", len(data)), out=sums[1:])
     return sums
 
 
@@ -115,5 +116,18 @@ def pieces(texts: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def lines_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of each line; every text has one more line than it has line breaks."""
+    breaks = np.flatnonzero(data == 10)
+    starts = np.concatenate([bounds[:-1], breaks + 1])
+    text = np.concatenate([np.arange(len(bounds) - 1), np.searchsorted(bounds, breaks, "right") - 1])
+    order = np.lexsort((starts, text))
+    starts, text = starts[order], text[order]
+    ends = bounds[1:][text]
+    inner = np.flatnonzero(text[1:] == text[:-1])
+    ends[inner] = starts[inner + 1] - 1
+    return starts, ends, text
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

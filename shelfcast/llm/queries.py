@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.html import extract_text
 from shelfcast.llm.minhash import near_duplicates
 from shelfcast.llm.mixing import mix_sources
+from shelfcast.llm.mixing_model import score_texts
+from shelfcast.llm.pieces import decode_ids, encode_texts
+from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.projection import near_vectors
 from shelfcast.llm.quality import judge_quality
 from shelfcast.llm.templates import dedup_lines
@@ -44,6 +48,19 @@ def op2_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op3_context_mixing")
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_piece_viterbi")
+def op4_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    whole = decode_ids(encode_texts(docs))
+    n = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("bigint")
+    return whole.select("doc_id", "ids", n.alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+
+
 @query("op5_quality_cascade")
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
@@ -55,11 +72,22 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("row.doc_id", F.col("lines").alias("n_lines"), F.col("dropped").alias("n_dropped"), F.col("left").alias("text"))
 
 
+@query("op7_boosted_dom")
+def op7_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op8_circulant_minhash")
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("print")
 
 
+@query("op9_boosted_pii")
+def op9_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "personal.*")
+
+
 @query("op10_projection_passes")
 def op10_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))

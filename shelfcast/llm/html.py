@@ -164,7 +164,7 @@ def elements(root: Node) -> list[Node]:
 def _kinds(node: Node) -> list[int]:
     """Which kinds of tokens the element has: 0 good, 1.. bad kinds. A semantic element counts like its token."""
     kinds = [0] * (1 + len(BAD))
-    name = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form", "menu": "menu", "dialog": "modal"}.get(node.tag)
+    name = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form", "menu": "menu", "dialog": "modal", "article": "article", "main": "main"}.get(node.tag)
     for t in (*node.tokens, name) if name else node.tokens:
         if t in BAD_TOKENS:
             kinds[1 + BAD_TOKENS[t]] = 1
@@ -411,7 +411,7 @@ def fit_pages_trees(pages: list[str], *, variants: int = 4, seed: int = 3) -> Tr
     if len(found) < 40:
         found += [v for k in range(160) if (v := _variant(STARTER, draw, plain=k == 0))]
     x, y = np.vstack([v[0] for v in found]), np.concatenate([v[1] for v in found])
-    return fit_trees(x, y, rounds=60, depth=4)
+    return fit_trees(x, y, rounds=80, depth=4)
 
 
 def main_texts(pages: list[str | None], trees: Trees) -> list[str]:
@@ -430,7 +430,7 @@ def main_texts(pages: list[str | None], trees: Trees) -> list[str]:
     return out
 
 
-def learn_pages(pages: DataFrame, *, fit_pages: int = 300) -> Trees:
+def learn_pages(pages: DataFrame, *, fit_pages: int = 250) -> Trees:
     """Fit the trees to about ``fit_pages`` pages with an article element, drawn by hash."""
     named = pages.select("html").where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
     n = named.count()
@@ -440,7 +440,7 @@ def learn_pages(pages: DataFrame, *, fit_pages: int = 300) -> Trees:
     return fit_pages_trees(rows)
 
 
-def extract_text(pages: DataFrame, *, fit_pages: int = 300, to: str = "text") -> DataFrame:
+def extract_text(pages: DataFrame, *, fit_pages: int = 250, to: str = "text") -> DataFrame:
     """``pages`` with the main text of ``html``."""
     trees = learn_pages(pages, fit_pages=fit_pages)
     arrow_rows(pages.sparkSession, 200)

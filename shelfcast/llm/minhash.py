@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
-from shelfcast.llm.store import arrow_rows, saved
+from shelfcast.llm.mixing import WORD
+from shelfcast.llm.store import arrow_rows, packed, saved, unpacked
 from shelfcast.llm.text import column, mix, pieces, words_of
 
 BANDS, ROWS = 32, 4
@@ -165,9 +166,10 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, print, component_id and kept for every row of ``docs(doc_id, text)``.
+    """doc_id, text_key, n_shingles, group, component_id and kept for every row of ``docs(doc_id, text)``.
 
-    Links are pairs of texts with ``100 * shared >= percent * joint`` shingles. ``print`` identifies the set.
+    Links are pairs of texts with ``100 * shared >= percent * joint`` shingles. ``group`` numbers the components, null for an
+    empty set; ``text_key`` is the text's xxhash64.
     """
     arrow_rows(docs.sparkSession, 500)
     signed = saved(_signed(docs, shingle), "minhash-signed")
@@ -196,9 +198,18 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
             break
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("print", "doc_id", F.coalesce("label", "class").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
-    groups = named.join(lowest, "label").select("print", "component")
+    groups = named.join(lowest, "label").select("print", F.col("label").alias("group"), "component")
     component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return signed.join(groups, "print", "left").select(
-        "doc_id", "n_shingles", "print", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_key", "n_shingles", "group", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
+
+def one_of_each(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with empty sets, and one row of each component: that with the smallest doc_id, then text key."""
+    found = saved(near_duplicates(docs.select("doc_id", "text"), shingle=shingle, percent=percent), "minhash-found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("one")
+    stay = found.where(F.col("group").isNotNull()).groupBy("group").agg(first).select(F.col("one.doc_id").alias("its"), F.col("one.text_key").alias("its_key"))
+    whole = packed(docs, doc_id=F.col("doc_id"), text_key=F.xxhash64("text"), worded=F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
+    matched = whole.join(stay, (F.col("text_key") == F.col("its_key")) & F.col("doc_id").eqNullSafe(F.col("its")))
+    return unpacked(matched.where("worded").dropDuplicates(["doc_id", "text_key"]).select("row").union(whole.where("not worded").select("row")))

@@ -80,7 +80,8 @@ def op7_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_circulant_minhash")
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("print")
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op9_boosted_pii")

@@ -290,8 +290,8 @@ def fit_grammar(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000) -
     return Grammar(words, weights, bias)
 
 
-def score_toxicity(docs: DataFrame, grammar: Grammar, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``toxicity``, 0 to 1. ``docs`` must not have one already."""
+def score_toxicity(docs: DataFrame, grammar: Grammar, *, text: str = "text", to: str = "toxicity") -> DataFrame:
+    """``docs`` with its toxicity, 0 to 1, in the column ``to``."""
     triggers, words, weights, bias = grammar.triggers(), grammar.words, grammar.weights, grammar.bias
     arrow_rows(docs.sparkSession, 1000)
 
@@ -304,4 +304,4 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, text: str = "text") -> Dat
                 out[i] += _features(sums) @ weights
         return pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))
 
-    return docs.withColumn("toxicity", score(F.col(text)))
+    return docs.withColumn(to, score(F.col(text)))

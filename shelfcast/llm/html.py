@@ -59,11 +59,12 @@ BAD = {
     "side": "sidebar side aside rail widget related recommended recommendations trending popular more promo teaser tags author bio meta",
     "ad": "ad ads advert adverts advertisement sponsor sponsored sponsors dfp adsense outbrain taboola",
     "notice": "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup paywall message",
-    "talk": "comment comments reply replies respond discussion disqus thread reader readers feedback review reviews",
+    "talk": "comment comments commentlist commentform reply replies respond discussion disqus thread reader readers feedback review reviews",
     "form": "form search login register contact poll survey share sharing social",
 }
 BAD_TOKENS = {t: i for i, words in enumerate(BAD.values()) for t in words.split()}
-FEATURES = 13 + len(TAGS) + 2 * (1 + len(BAD)) + 8
+BASIC = 15
+FEATURES = BASIC + len(TAGS) + 2 * (1 + len(BAD)) + 8
 
 
 class Node:
@@ -222,12 +223,13 @@ def features(nodes: list[Node]) -> np.ndarray:
             rows[i, -8:] = (size, same[nodes[i].tag] / size, k / size, mean, text[i] / (mean + 1), linky, text[i] == most, text[p])
     for i, x in enumerate(nodes):
         t = text[i]
-        rows[i, :13] = (
-            depth[i], t, links[i] / (t + 1), t / (tags[i] + 1), words[i], stops[i] / (words[i] + 1), tags[i], paragraphs[i], t / whole, own[i], own[i] / (t + 1), len(x.tokens), t / (words[i] + 1),
+        good, bad = kinds[i][0] or above[i][0], any(kinds[i][1:]) or any(above[i][1:])
+        rows[i, :BASIC] = (
+            depth[i], t, links[i] / (t + 1), t / (tags[i] + 1), words[i], stops[i] / (words[i] + 1), tags[i], paragraphs[i], t / whole, own[i], own[i] / (t + 1), len(x.tokens), t / (words[i] + 1), bad, good and not bad,
         )
         if x.tag in tag_place:
-            rows[i, 13 + tag_place[x.tag]] = 1
-        at = 13 + len(TAGS)
+            rows[i, BASIC + tag_place[x.tag]] = 1
+        at = BASIC + len(TAGS)
         rows[i, at : at + 1 + len(BAD)] = kinds[i]
         rows[i, at + 1 + len(BAD) : at + 2 + 2 * len(BAD)] = above[i]
     return rows

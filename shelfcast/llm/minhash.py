@@ -5,9 +5,9 @@ shingle, a second one, shifted by k, gives coordinate k: ``second(first(x) + k)`
 fingerprint before anything is compared. Classes that share a band are candidates; the links are confirmed on the full sets.
 
 Buckets are never expanded to all pairs. In each bucket one class is the centre, and the others are compared with it alone,
-so candidates grow with the rows. Then only buckets that still hold several components are left; they get further centres,
-and at last the pairs across components that have not been compared. So no pair that shares a band is given up, however
-large its bucket.
+so candidates grow with the rows. Then only buckets that still hold several components are left. They get further centres
+until the pairs across their components are about as many as their rows, six at most; these pairs, as far as they have not been compared,
+come last. So no pair that shares a band is given up, however large its bucket.
 
 Defined results: null text and text without words has an empty set, linked with nothing; fewer words than a shingle make
 one shingle of them all; equal rows and equal sets are linked; component_id is the smallest doc_id that can be reached, null
@@ -30,6 +30,7 @@ from shelfcast.llm.text import column, mix, pieces, words_of
 
 BANDS, ROWS = 32, 4
 CENTRE_ROUNDS = 6
+ACROSS_PER_ROW = 2  # pairs across components, by rows, at which centres give way to them
 
 
 def _permuted(x: np.ndarray) -> np.ndarray:
@@ -157,6 +158,14 @@ def _across(rows: DataFrame) -> DataFrame:
     return rows.join(other, "bucket").where("class < b and label <> of").select(F.col("class").alias("a"), "b").distinct()
 
 
+def _few_across(rows: DataFrame) -> bool:
+    """Are the pairs across components about as many as the rows?"""
+    own = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    pairs = own.groupBy("bucket").agg(F.sum("n").alias("n"), ((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs"))
+    total = pairs.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("rows")).first()
+    return (total["pairs"] or 0.0) <= ACROSS_PER_ROW * (total["rows"] or 0.0)
+
+
 def _classes(signed: DataFrame) -> DataFrame:
     """One row for each different set: class, print, the smallest doc_id, the key of one of its texts, bands."""
     grouped = signed.where("print is not null").groupBy("print").agg(
@@ -180,22 +189,24 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi").select("class", "one")
     held = docs.select("doc_id", "text").join(wanted, (F.xxhash64("text") == F.col("one.text_key")) & F.col("doc_id").eqNullSafe(F.col("one.doc_id")))
     texts = saved(held.select("class", "text").dropDuplicates(["class"]), "minhash-texts")
-    links, labels, tried = None, None, None
+    links, tried = None, None
     rows = buckets.withColumn("label", F.col("class"))
-    turn = 0
+    turn, last = 0, False
     while True:
-        pairs = _star(rows, turn) if turn < CENTRE_ROUNDS else _across(rows)
+        pairs = _across(rows) if last else _star(rows, turn)
+        unordered = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.select("a", "b", *unordered).join(tried, ["low", "high"], "left_anti").select("a", "b")
         pairs = saved(pairs, "minhash-pairs")
         fresh = saved(_confirmed(pairs, texts, shingle, percent), "minhash-links")
         links = fresh if links is None else saved(links.union(fresh), "minhash-links")
-        tried = pairs if tried is None else saved(tried.union(pairs), "minhash-tried")
+        tried = pairs.select(*unordered) if tried is None else tried.union(pairs.select(*unordered))
         labels = components(links)
+        if last:
+            break
         rows = saved(_labelled(buckets, labels), "minhash-rows")
         turn += 1
-        if turn > CENTRE_ROUNDS or not rows.limit(1).count():
-            break
+        last = turn == CENTRE_ROUNDS or _few_across(rows)
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("print", "doc_id", F.coalesce("label", "class").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
     groups = named.join(lowest, "label").select("print", F.col("label").alias("group"), "component")

@@ -27,3 +27,11 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.drop("moved")
         if not moved.where("moved").limit(1).count():
             return labels
+
+
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels(node, label)`` after further links between these nodes; only the components that links meet are worked on."""
+    of = [labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")) for end in ("a", "b")]
+    between = links.select("a", "b").join(of[0], "a").join(of[1], "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    roots = components(between).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label"))

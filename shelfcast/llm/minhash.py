@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.components import components
+from shelfcast.llm.components import joined_labels
 from shelfcast.llm.mixing import WORD
 from shelfcast.llm.store import arrow_rows, packed, saved, unpacked
 from shelfcast.llm.text import column, mix, pieces, words_of
@@ -189,7 +189,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi").select("class", "one")
     held = docs.select("doc_id", "text").join(wanted, (F.xxhash64("text") == F.col("one.text_key")) & F.col("doc_id").eqNullSafe(F.col("one.doc_id")))
     texts = saved(held.select("class", "text").dropDuplicates(["class"]), "minhash-texts")
-    links, tried = None, None
+    tried = None
+    labels = buckets.select(F.col("class").alias("node")).distinct().withColumn("label", F.col("node"))
     rows = buckets.withColumn("label", F.col("class"))
     turn, last = 0, False
     while True:
@@ -198,10 +199,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
         if tried is not None:
             pairs = pairs.select("a", "b", *unordered).join(tried, ["low", "high"], "left_anti").select("a", "b")
         pairs = saved(pairs, "minhash-pairs")
-        fresh = saved(_confirmed(pairs, texts, shingle, percent), "minhash-links")
-        links = fresh if links is None else saved(links.union(fresh), "minhash-links")
         tried = pairs.select(*unordered) if tried is None else tried.union(pairs.select(*unordered))
-        labels = components(links)
+        links = saved(_confirmed(pairs, texts, shingle, percent), "minhash-links")
+        labels = saved(joined_labels(labels, links), "minhash-labels")
         if last:
             break
         rows = saved(_labelled(buckets, labels), "minhash-rows")

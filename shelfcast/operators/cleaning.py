@@ -37,11 +37,12 @@ def iqr_limits(
     return quantiles.agg(*ends)
 
 
-def outlier_limits(df: DataFrame, columns: Sequence[str] = CHECKED, method: str = "std") -> DataFrame:
+def outlier_limits(df: DataFrame, columns: Sequence[str] = CHECKED, method: str = "std", **levels: float) -> DataFrame:
+    """``levels`` go to the method: ``width`` for std; ``low``, ``high``, ``reach`` for iqr."""
     if method == "std":
-        return std_limits(df, columns)
+        return std_limits(df, columns, **levels)
     if method == "iqr":
-        return iqr_limits(df, columns)
+        return iqr_limits(df, columns, **levels)
     raise ValueError(f"method must be std or iqr, not {method!r}")
 
 
@@ -49,12 +50,12 @@ def negative_flags(columns: Sequence[str] = CHECKED) -> dict[str, Column]:
     return {c: holds(F.col(c) < 0) for c in columns}
 
 
-def outlier_flags(df: DataFrame, columns: Sequence[str] = CHECKED, method: str = "std") -> dict[str, Column]:
+def outlier_flags(df: DataFrame, columns: Sequence[str] = CHECKED, method: str = "std", **levels: float) -> dict[str, Column]:
     """Per column: is the value outside the limits of the whole of ``df``?
 
     The limits are one aggregate over all rows, read as a scalar subquery.
     """
-    limits = outlier_limits(df, columns, method).select(F.struct("*").alias("limits")).scalar()
+    limits = outlier_limits(df, columns, method, **levels).select(F.struct("*").alias("limits")).scalar()
     return {
         c: holds((F.col(c) < limits[f"lower_{c}"]) | (F.col(c) > limits[f"upper_{c}"])) for c in columns
     }
@@ -71,9 +72,9 @@ def flag_negatives(df: DataFrame, columns: Sequence[str] = CHECKED, valid: str =
 
 
 def flag_outliers(
-    df: DataFrame, columns: Sequence[str] = CHECKED, method: str = "std", valid: str = "valid"
+    df: DataFrame, columns: Sequence[str] = CHECKED, method: str = "std", valid: str = "valid", **levels: float
 ) -> DataFrame:
-    return _mark(df, outlier_flags(df, columns, method), valid)
+    return _mark(df, outlier_flags(df, columns, method, **levels), valid)
 
 
 def clean_transactions(
@@ -82,6 +83,7 @@ def clean_transactions(
     remove_outliers: bool = True,
     method: str = "std",
     columns: Sequence[str] = CHECKED,
+    **levels: float,
 ) -> DataFrame:
     """Rows without negatives and outliers; a missing price or amount is no reason to go.
 
@@ -91,13 +93,13 @@ def clean_transactions(
     if remove_negatives:
         flags += negative_flags(columns).values()
     if remove_outliers:
-        flags += outlier_flags(df, columns, method).values()
+        flags += outlier_flags(df, columns, method, **levels).values()
     return df.where(~reduce(or_, flags)) if flags else df
 
 
-def cleaning_report(df: DataFrame, method: str = "std", columns: Sequence[str] = CHECKED) -> DataFrame:
+def cleaning_report(df: DataFrame, method: str = "std", columns: Sequence[str] = CHECKED, **levels: float) -> DataFrame:
     """One row: flagged rows per rule and column, removed rows, share lost."""
-    negative, outlier = negative_flags(columns), outlier_flags(df, columns, method)
+    negative, outlier = negative_flags(columns), outlier_flags(df, columns, method, **levels)
     rules = {f"negative_{c}": f for c, f in negative.items()} | {f"outlier_{c}": f for c, f in outlier.items()}
     flagged = df.select(*[f.cast("int").alias(name) for name, f in rules.items()])
     removed = F.sum(F.greatest(*[F.col(name) for name in rules]))

@@ -8,8 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.quantiles import exact_quantiles, value_counts
+from shelfcast.functions.quantiles import cells, exact_quantiles
 from shelfcast.functions.scalars import amount_sum, period_label, weekday_name
+from shelfcast.operators.cleaning import cleaning_report
+from shelfcast.operators.enrich import unrepresented, unseen_pairs
+from shelfcast.operators.splits import val_month_count
+from shelfcast.sources.tables import fix_schema
 from shelfcast.spec import PanelSpec
 
 
@@ -76,13 +80,13 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], reach: float = 1.5) ->
     low, high = F.col("q25") - reach * spread, F.col("q75") + reach * spread
     inside = value.between(low, high)
     return (
-        value_counts(df, list(columns))
+        cells(df, list(columns))
         .join(F.broadcast(quartiles), "column")
         .groupBy("column", "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, value)).alias("whisker_low"),
             F.max(F.when(inside, value)).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 
@@ -154,10 +158,51 @@ def grid_cardinality(shops: DataFrame, items: DataFrame, transactions: DataFrame
     return seen.withColumn("all_pairs", n_shops * n_items).withColumn("seen_share", F.col("seen_pairs") / F.col("all_pairs"))
 
 
-def data_profile(tables: Mapping[str, DataFrame], daily: DataFrame, cleaned: DataFrame, spec: PanelSpec = PanelSpec()) -> dict[str, DataFrame]:
-    """All reports by name. ``daily`` is the enriched fact, ``cleaned`` what is left of it."""
+# The thresholds the raw data is looked through for.
+THRESHOLDS = {"price": {"below": [0], "above": [100000, 200000]}, "amount": {"below": [-5, 0], "above": [500]}}
+
+
+def threshold_rows(df: DataFrame, thresholds: Mapping[str, Mapping[str, Sequence[float]]] = THRESHOLDS) -> DataFrame:
+    """The rows beyond any of the thresholds, each with the list of those it is beyond, such as ``price < 0``."""
+    beyond = {
+        f"{c} {sign} {t:g}": (F.col(c) < t if sign == "<" else F.col(c) > t)
+        for c, sides in thresholds.items()
+        for sign, side in (("<", "below"), (">", "above"))
+        for t in sides.get(side, [])
+    }
+    named = F.array(*[F.when(condition, F.lit(name)) for name, condition in beyond.items()])
+    return df.withColumn("beyond", F.array_compact(named)).where(F.size("beyond") > 0)
+
+
+def data_profile(
+    tables: Mapping[str, DataFrame], daily: DataFrame, cleaned: DataFrame, leveled: DataFrame, spec: PanelSpec = PanelSpec()
+) -> dict[str, DataFrame]:
+    """All reports by name.
+
+    ``daily`` is the enriched fact, ``cleaned`` what is left of it, ``leveled`` the
+    monthly panel with the fall-back level of each price. All three are read
+    several times; pass frames that are saved.
+    """
     measures = [spec.price, spec.amount]
+    sold, shops, items = tables["transaction"], tables["shop_list"], tables["item_list"]
+    categories = tables["category_list"]
     return {
+        "distinct_counts": distinct_counts(
+            {
+                "items": (items, spec.item),
+                "shops": (shops, spec.shop),
+                "categories": (categories, spec.category),
+                "items_sold": (sold, spec.item),
+                "shops_selling": (sold, spec.shop),
+            }
+        ),
+        "threshold_rows": threshold_rows(daily),
+        "cleaning_report": cleaning_report(daily),
+        "missing_report": missing_report(leveled),
+        "validation_months": leveled.agg(val_month_count(spec).alias("months")),
+        "unseen_pairs": unseen_pairs(fix_schema(tables["test"]), sold, spec),
+        "unsold_items": unrepresented(items, sold, spec.item),
+        "unselling_shops": unrepresented(shops, sold, spec.shop),
         "table_shapes": table_shapes(tables),
         "completeness": completeness_profile(daily),
         "date_range": date_range(daily, spec.date),

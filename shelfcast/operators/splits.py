@@ -98,16 +98,19 @@ def clean_by_strategy(
     strategy: str = "random",
     spec: PanelSpec = PanelSpec(),
     keys: Sequence[str] | None = None,
+    method: str = "std",
+    **levels: float,
 ) -> dict[str, DataFrame]:
     """Cleaned transactions by part.
 
     ``olrem_for_all`` cleans all rows and leaves the split to the panel.
     ``no_olrem_for_val`` splits first and keeps the outliers of the validation
-    rows; the limits for the others come from the training rows alone.
+    rows; the limits for the others come from the training rows alone. ``method``
+    and ``levels`` say how outliers are told, as in ``clean_transactions``.
     """
     if cleaning == "olrem_for_all":
-        return {"all": clean_transactions(daily)}
+        return {"all": clean_transactions(daily, method=method, **levels)}
     if cleaning == "no_olrem_for_val":
         train, val = split_daily(daily, strategy, spec, keys)
-        return {"train": clean_transactions(train), "val": clean_transactions(val, remove_outliers=False)}
+        return {"train": clean_transactions(train, method=method, **levels), "val": clean_transactions(val, remove_outliers=False)}
     raise ValueError(f"cleaning must be one of {CLEANING}, not {cleaning!r}")

@@ -143,12 +143,18 @@ class PanelBuilder:
     """
 
     def __init__(
-        self, tables: dict[str, DataFrame], store: StageStore, source: str, spec: PanelSpec = PanelSpec(), method: str = "std"
+        self,
+        tables: dict[str, DataFrame],
+        store: StageStore,
+        source: str,
+        spec: PanelSpec = PanelSpec(),
+        method: str = "std",
+        **levels: float,
     ) -> None:
-        self.tables, self.store, self.source, self.spec, self.method = tables, store, source, spec, method
+        self.tables, self.store, self.source, self.spec, self.method, self.levels = tables, store, source, spec, method, levels
 
     def settings(self, *names: str) -> dict:
-        return {"source": self.source, "method": self.method} | {k: v for k, v in asdict(self.spec).items() if k in names}
+        return {"source": self.source, "method": self.method, "levels": self.levels} | {k: v for k, v in asdict(self.spec).items() if k in names}
 
     @property
     def fact_settings(self) -> dict:
@@ -159,7 +165,7 @@ class PanelBuilder:
         return self.fact_settings | self.settings("calendar_periods")
 
     def cleaned(self) -> DataFrame:
-        return clean_transactions(handle_dates(self.tables["transaction"], self.spec), method=self.method)
+        return clean_transactions(handle_dates(self.tables["transaction"], self.spec), method=self.method, **self.levels)
 
     def facts(self, refresh: bool = False) -> DataFrame:
         return self.store.table(
@@ -211,7 +217,8 @@ class PanelBuilder:
         items = self.tables["item_list"]
         settings = self.base_settings | self.settings("lags", "val_ratio", "seed") | {"strategy": strategy, "keys": keys}
         panels = {}
-        for name, sales in clean_by_strategy(daily, "no_olrem_for_val", strategy, self.spec, keys).items():
+        cleaned = clean_by_strategy(daily, "no_olrem_for_val", strategy, self.spec, keys, self.method, **self.levels)
+        for name, sales in cleaned.items():
             facts = self.store.table(
                 f"{name}_facts", settings, lambda sales=sales: monthly_facts(sales, items, self.spec), refresh=refresh
             )

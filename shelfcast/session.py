@@ -10,20 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.spec import PanelSpec
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a fresh temporary one in local mode only."""
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
+
+    Where it is unset, one is made and put into the session, but only if driver
+    and executors are one process; any cluster, also a local one, gets an error.
+    """
     named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="shelfcast-")
-    return _local_dirs[app]
+    if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
+        named = tempfile.mkdtemp(prefix="shelfcast-")
+        spark.conf.set(CHECKPOINT_CONF, named)
+    return named.rstrip("/")
 
 
 def enable_checkpoints(spark: SparkSession) -> None:

@@ -10,6 +10,8 @@ from datetime import datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.sources.tables import CSV_OPTIONS
+
 STAGE_VERSION = 1
 
 
@@ -44,7 +46,20 @@ class StageStore:
         return f"{self.root}/{name}-{hashlib.md5(text.encode()).hexdigest()[:12]}"
 
     def is_saved(self, name: str, settings: object) -> bool:
-        return path_exists(self.spark, f"{self.path(name, settings)}/_SUCCESS")
+        return self.version(name, settings) > 0
+
+    def version(self, name: str, settings: object) -> int:
+        """How often the stage was written; each time into a folder of its own, so that frames on older files stay valid."""
+        n = 0
+        while path_exists(self.spark, f"{self.version_path(name, settings, n + 1)}/_SUCCESS"):
+            n += 1
+        return n
+
+    def version_path(self, name: str, settings: object, version: int) -> str:
+        return f"{self.path(name, settings)}/v{version}"
+
+    def saved_path(self, name: str, settings: object) -> str:
+        return self.version_path(name, settings, self.version(name, settings))
 
     def table(
         self,
@@ -54,19 +69,21 @@ class StageStore:
         partition_by: Sequence[str] = (),
         refresh: bool = False,
     ) -> DataFrame:
-        if refresh or not self.is_saved(name, settings):
-            write_stage(build(), self.path(name, settings), partition_by)
-        return scan_stage(self.spark, self.path(name, settings))
+        version = self.version(name, settings)
+        if refresh or not version:
+            version += 1
+            write_stage(build(), self.version_path(name, settings, version), partition_by)
+        return scan_stage(self.spark, self.version_path(name, settings, version))
 
 
 def write_predictions_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def save_model(model: PipelineModel, root: str, name: str) -> str:
-    """Save under a time-stamped name and return the path."""
-    path = f"{root.rstrip('/')}/{name}_{datetime.now():%Y%m%d_%H%M%S}"
-    model.write().overwrite().save(path)
+    """Save under a time-stamped name and return the path; no earlier model is ever replaced."""
+    path = f"{root.rstrip('/')}/{name}_{datetime.now():%Y%m%d_%H%M%S_%f}"
+    model.save(path)
     return path
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +20,27 @@ FILE_NAMES = {name: f"{name}.csv" for name in TABLE_TYPES}
 KEY_NAMES = {"shop": "shop_id", "item": "item_id"}
 
 
-def scan_csv(spark: SparkSession, path: str, types: Mapping[str, str]) -> DataFrame:
+# Quotes inside a field are doubled, blanks at its ends belong to it.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def scan_csv(spark: SparkSession, path: str, types: Mapping[str, str], optional: Sequence[str] = ()) -> DataFrame:
     """A headered CSV with declared types, taken by name; a saved index column is left out.
 
-    Only the header is read ahead; there is no pass to guess types.
+    Only the header is read ahead; there is no pass to guess types. A declared
+    column that the file lacks is an error, unless it is among ``optional``. An
+    empty field is null, quoted or not.
     """
-    raw = drop_index_columns(spark.read.option("header", True).csv(path))
+    raw = drop_index_columns(spark.read.options(**CSV_OPTIONS).csv(path))
+    missing = [c for c in types if c not in raw.columns and c not in optional]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
     return raw.select(*[F.col(c).cast(t).alias(c) for c, t in types.items() if c in raw.columns])
 
 

@@ -16,6 +16,7 @@ from shelfcast.operators.models import (
     best_round,
     feature_importance,
     fit_elastic_net,
+    first_rounds,
     fit_gbt_early_stopping,
     random_search,
     search_history,
@@ -151,8 +152,11 @@ def test_early_stopping_beats_the_mean(features):
 
     train, val = (features_and_label(p, SPEC) for p in parts(split_panel(features, "months", SPEC)))
     fitted, matrix, val_matrix = fit_transform_split(train, val, tree_stages(SPEC), SPEC)
-    model, losses = fit_gbt_early_stopping(matrix, val_matrix, SPEC.key, maxIter=12, maxDepth=3)
+    model, losses = fit_gbt_early_stopping(matrix, val_matrix, maxIter=12, maxDepth=3)
     assert model.getNumTrees == best_round(losses)
+    two = first_rounds(model, 2)
+    assert two.getNumTrees == 2 and score(two.transform(val_matrix)).first()["rmse"] ** 2 == pytest.approx(losses[1], rel=1e-6)
+    assert two.featureImportances.size == model.featureImportances.size
     reached = score(model.transform(val_matrix)).first()
     assert reached["rmse"] ** 2 == pytest.approx(min(losses[: model.getNumTrees]), rel=1e-6)
     assert reached["r2"] > 0
@@ -201,7 +205,8 @@ def test_forecast_may_be_clipped(spark, features):
 
 
 def test_tree_search_keeps_its_history(spark, matrix):
-    search = auto_search(matrix, trials=2, maxIter=3)
+    search = auto_search(matrix, ["id"], trials=2, maxIter=3)
+    assert auto_search(matrix.repartition(7), ["id"], trials=2, maxIter=3).scores == pytest.approx(search.scores, rel=0.2)
     history = search_history(search, spark).orderBy("trial").collect()
     assert [r["trial"] for r in history] == [1, 2] and "maxDepth" in history[0]["settings"]
     assert history[-1]["best_score"] == min(r["score"] for r in history)

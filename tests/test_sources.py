@@ -30,6 +30,24 @@ def test_tables_load_by_column_name(spark, root):
     assert t["shop_list"].where("shop_id = 2").first()["shop_name"] == "South, old"
 
 
+def test_quotes_commas_and_blanks_survive(spark, tmp_path):
+    rows = [("Game \"Gold\", disc 2", 1, 40), (" lead, trail ", 2, 40), ("", 3, None), ("\"", 4, 1), ("a,b", 5, 1), (None, 6, 1)]
+    names = spark.createDataFrame(rows, "item_name string, item_id int, item_category_id int")
+    write_predictions_csv(names, f"{tmp_path}/names")
+    back = scan_csv(spark, f"{tmp_path}/names", {"item_name": "string", "item_id": "int", "item_category_id": "int"})
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == [(name or None, *ids) for name, *ids in rows]  # empty reads as missing
+    (tmp_path / "x.csv").write_text('item_name,item_id,item_category_id\n"Game ""Gold"", disc 2",1,40\n')
+    assert scan_csv(spark, f"{tmp_path}/x.csv", {"item_name": "string", "item_id": "int"}).first()["item_name"] == 'Game "Gold", disc 2'
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("date,shop,item,cost,amount\n1.1.2013,1,2,3,4\n")
+    types = {"date": "string", "shop": "int", "price": "double"}
+    with pytest.raises(ValueError, match="no column price"):
+        scan_csv(spark, f"{tmp_path}/t.csv", types)
+    assert scan_csv(spark, f"{tmp_path}/t.csv", types, optional=["price"]).columns == ["date", "shop"]
+
+
 def test_index_columns_go(spark):
     df = spark.createDataFrame([(0, 1, 2)], ["UNNAMED: 0", "_c0", "x"])
     assert drop_index_columns(df).columns == ["x"]
@@ -63,9 +81,13 @@ def test_stage_is_built_again_after_an_uncommitted_write(spark, tmp_path):
     store.table("s", {"a": 1}, build)
     assert len(built) == 1
     store.table("s", {"a": 2}, build)
+    before = store.table("s", {"a": 1}, build)
     store.table("s", {"a": 1}, build, refresh=True)
-    assert len(built) == 3
-    (tmp_path / store.path("s", {"a": 1}).split("/")[-1] / "_SUCCESS").unlink()
+    assert len(built) == 3 and before.count() == 3  # a refresh leaves the files of earlier frames alone
+    folder = tmp_path / store.path("s", {"a": 1}).split("/")[-1]
+    assert store.saved_path("s", {"a": 1}).endswith("/v2")
+    (folder / "v2" / "_SUCCESS").unlink()
+    (folder / "v1" / "_SUCCESS").unlink()
     store.table("s", {"a": 1}, build)
     assert len(built) == 4
 

@@ -92,6 +92,10 @@ def test_outliers_stay_in_the_validation_part_only(spark):
     cleaned = clean_by_strategy(daily, "no_olrem_for_val", "last_months_val", SPEC)
     assert cleaned["train"].agg(F.max("price")).first()[0] == 10.0
     assert cleaned["val"].agg(F.min("price"), F.max("price")).first()[:] == (10.0, 9000.0)
+    wide = clean_by_strategy(daily, "no_olrem_for_val", "last_months_val", SPEC, method="std", width=1e6)
+    assert wide["train"].agg(F.max("price")).first()[0] == 9000.0
+    ranged = clean_by_strategy(daily, "no_olrem_for_val", "last_months_val", SPEC, method="iqr", low=0.0, high=1.0, reach=0.0)
+    assert ranged["train"].agg(F.max("price")).first()[0] == 9000.0
     assert clean_by_strategy(daily, spec=SPEC)["all"].count() == clean_transactions(daily).count() == 230
 
 

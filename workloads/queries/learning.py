@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.encoding import (
@@ -22,7 +24,18 @@ from shelfcast.operators.encoding import (
     tree_stages,
 )
 from shelfcast.operators.features import features_and_label
-from shelfcast.operators.models import auto_search, feature_importance, fit_elastic_net, fit_gbt, random_search, search_history
+from shelfcast.operators.models import (
+    ALPHAS,
+    L1_RATIOS,
+    TREE_CHOICES,
+    auto_search,
+    feature_importance,
+    fit_gbt,
+    label_spread,
+    penalty,
+    random_search,
+    search_history,
+)
 from shelfcast.operators.scoring import r2, rmse, score
 from shelfcast.operators.splits import parts, split_last_periods
 from shelfcast.plans.forecast import forecast_next_period, round_forecast
@@ -168,7 +181,22 @@ def _(spark, sf_dir):
     return digest(val_matrix, PERIOD_SHOP, LINEAR_COLUMNS)
 
 
-@query("fit_transform_split")
+step(
+    "linear_both",
+    "SELECT 'train' AS split, t.monthly_period, t.shop_id, "
+    + ", ".join(f"t.{ENCODED}{c}" for c in IDS)
+    + f", {WAVE_SQL}, {SCALED_SQL}, t.label FROM (SELECT r.*, "
+    + ", ".join(f"x{i}.encoding AS {ENCODED}{c}" for i, c in enumerate(IDS))
+    + " FROM folded r "
+    + " ".join(f"JOIN code_{c} x{i} ON x{i}.value = r.{c} AND x{i}.fold = r.fold" for i, c in enumerate(IDS))
+    + ") t CROSS JOIN ranges UNION ALL SELECT 'val', v.monthly_period, v.shop_id, "
+    + ", ".join(f"coalesce(e{i}.encoding, m) AS {ENCODED}{c}" for i, c in enumerate(IDS))
+    + f", {WAVE_SQL}, {SCALED_SQL}, v.label FROM val_rows v CROSS JOIN ranges CROSS JOIN label_stats "
+    + " ".join(f"LEFT JOIN encodings e{i} ON e{i}.feature = '{c}' AND e{i}.value = v.{c}" for i, c in enumerate(IDS)),
+)
+
+
+@query("fit_transform_split", digest_sql("linear_both", ["split", *PERIOD_SHOP], [*LINEAR_COLUMNS, "label"], [*LINEAR_COLUMNS, "label"]))
 def _(spark, sf_dir):
     train, val = split_rows(spark, sf_dir)
     _fitted, matrix, val_matrix = fit_transform_split(train, val, scaled_stages(SPEC), SPEC)
@@ -195,13 +223,20 @@ def trees(spark: SparkSession, sf_dir: str):
     return _trees(spark.sparkContext.applicationId, sf_dir)
 
 
-@query("fit_elastic_net")
+ALPHA, L1_RATIO = 1.0, 0.5
+
+
+@query("fit_elastic_net", f"SELECT count(*) AS rows, {len(LINEAR_COLUMNS)} AS weights, CAST(0 AS DOUBLE) AS violation FROM train_rows")
 def _(spark, sf_dir):
-    """The weights of the default elastic net, by feature."""
+    """How far the weights of the default elastic net are from the optimum: the largest slope left, over the penalty's own."""
     trained = linear(spark, sf_dir)
-    weights = trained.pipeline.stages[-1].coefficients.toArray()
-    rows = [(n, float(w)) for n, w in zip(feature_names(trained.pipeline), weights)]
-    return spark.createDataFrame(rows, "feature string, weight double")
+    weights = trained.pipeline.stages[-1].coefficients.toArray().tolist()
+    x, left = vector_to_array("features"), F.col("label") - F.col("prediction")
+    train = trained.predictions().where("split = 'train'").select(x.alias("x"), left.alias("left"))
+    slopes = [F.avg(F.get("x", F.lit(i)) * F.col("left")) - ALPHA * (1 - L1_RATIO) * w for i, w in enumerate(weights)]
+    off = [F.abs(s - ALPHA * L1_RATIO * (1 if w > 0 else -1)) if w else F.greatest(F.abs(s) - ALPHA * L1_RATIO, F.lit(0.0)) for s, w in zip(slopes, weights)]
+    checked = train.agg(F.count(F.lit(1)).alias("rows"), F.round(F.greatest(*off), 2).alias("violation"))
+    return checked.select("rows", F.lit(len(weights)).alias("weights"), "violation")
 
 
 @cache
@@ -212,24 +247,63 @@ def _random_search(app: str, sf_dir: str):
     return random_search(matrix, SPEC.key, seed=SPEC.seed)
 
 
-@query("random_search")
+def history_sql(trials: int) -> str:
+    """A numbered row for each trial; settings and running best are checked by the query."""
+    return (
+        f"SELECT CAST(t.trial AS INT) AS trial, TRUE AS settings_known, TRUE AS best_so_far, n.rows FROM range(1, {trials + 1}) t(trial), "
+        "(SELECT count(*) AS rows FROM train_rows) n"
+    )
+
+
+def checked_history(history: DataFrame, matrix: DataFrame, choices: dict, larger: bool) -> DataFrame:
+    """By trial: were its settings among the choices, is its best score the best up to here; and the rows searched on."""
+    order = Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, 0)
+    best = (F.max if larger else F.min)("score").over(order)
+    known = [F.col("settings")[k].isin([str(v) for v in values]) for k, values in choices.items()]
+    rows = matrix.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return history.select("trial", reduce(and_, known).alias("settings_known"), (F.col("best_score") == best).alias("best_so_far"), rows.alias("rows"))
+
+
+def checked_scores(scored: DataFrame, *by: str) -> DataFrame:
+    """Rows, label total, and whether the predictions are nearer to the label than its mean."""
+    error = F.avg((F.col("label") - F.col("prediction")) ** 2)
+    return scored.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("label"), 2).alias("label"), (error < F.var_pop("label")).alias("beats_mean")
+    )
+
+
+SCORED_SQL = "count(*) AS rows, round(sum(label), 2) AS label, TRUE AS beats_mean"
+BOTH_SQL = f"SELECT 'train' AS split, {SCORED_SQL} FROM train_rows UNION ALL SELECT 'val', {SCORED_SQL} FROM val_rows"
+
+
+@query("random_search", history_sql(10))
 def _(spark, sf_dir):
-    return search_history(_random_search(spark.sparkContext.applicationId, sf_dir), spark)
+    spread = label_spread(split_rows(spark, sf_dir)[0])
+    penalties = [penalty(a, r, spread) for a in ALPHAS for r in L1_RATIOS]
+    choices = {k: [p[k] for p in penalties] for k in ("regParam", "elasticNetParam")}
+    history = search_history(_random_search(spark.sparkContext.applicationId, sf_dir), spark)
+    return checked_history(history, split_rows(spark, sf_dir)[0], choices, larger=True)
 
 
-@query("fit_gbt")
+@query("fit_gbt", f"SELECT {SCORED_SQL}, 100 AS rounds FROM train_rows")
 def _(spark, sf_dir):
-    """Scores of trees boosted for a fixed number of rounds."""
+    """Trees boosted for the full number of rounds, on the rows they were fitted to."""
     train, val = split_rows(spark, sf_dir)
-    _fitted, matrix, val_matrix = fit_transform_split(train, val, tree_stages(SPEC), SPEC)
-    return score(fit_gbt(matrix, SPEC.key, SPEC.seed, maxIter=20).transform(val_matrix))
+    _fitted, matrix, _val_matrix = fit_transform_split(train, val, tree_stages(SPEC), SPEC)
+    model = fit_gbt(matrix, SPEC.seed)
+    return checked_scores(model.transform(matrix)).withColumn("rounds", F.lit(model.getNumTrees))
 
 
-@query("early_stopping")
+@query("early_stopping", f"SELECT *, TRUE AS rounds_known FROM ({BOTH_SQL})")
 def _(spark, sf_dir):
-    """Rounds kept, and the scores of the stopped model on both parts."""
+    """The stopped model on both parts."""
     trained = trees(spark, sf_dir)
-    return trained.scores().withColumn("rounds", F.lit(trained.pipeline.stages[-1].getNumTrees))
+    rounds = trained.pipeline.stages[-1].getNumTrees
+    return checked_scores(trained.predictions(), "split").withColumn("rounds_known", F.lit(1 <= rounds <= 100))
+
+
+# The search's budget: each trial may boost for the full number of rounds.
+TRIALS = 2
 
 
 @cache
@@ -237,41 +311,49 @@ def _auto_search(app: str, sf_dir: str):
     spark = SparkSession.active()
     train, val = split_rows(spark, sf_dir)
     _fitted, matrix, _val_matrix = fit_transform_split(train, val, tree_stages(SPEC), SPEC)
-    return auto_search(matrix, trials=4, seed=SPEC.seed, maxIter=10)
+    return auto_search(matrix, SPEC.key, trials=TRIALS, seed=SPEC.seed)
 
 
-@query("auto_search")
+@query("auto_search", f"SELECT {SCORED_SQL} FROM val_rows")
 def _(spark, sf_dir):
-    """Validation scores of the best model the search found."""
+    """The best model the search found, on the validation rows."""
     train, val = split_rows(spark, sf_dir)
     _fitted, _matrix, val_matrix = fit_transform_split(train, val, tree_stages(SPEC), SPEC)
-    return score(_auto_search(spark.sparkContext.applicationId, sf_dir).bestModel.transform(val_matrix))
+    return checked_scores(_auto_search(spark.sparkContext.applicationId, sf_dir).bestModel.transform(val_matrix))
 
 
-@query("search_history")
+@query("search_history", history_sql(TRIALS))
 def _(spark, sf_dir):
-    return search_history(_auto_search(spark.sparkContext.applicationId, sf_dir), spark)
+    history = search_history(_auto_search(spark.sparkContext.applicationId, sf_dir), spark)
+    return checked_history(history, split_rows(spark, sf_dir)[0], TREE_CHOICES, larger=False)
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS share_known, n.rows FROM (SELECT count(*) AS rows FROM train_rows) n" for c in TREE_COLUMNS),
+)
 def _(spark, sf_dir):
+    """Each feature of the trees: is its importance a share, all of which add up to 1."""
     trained = trees(spark, sf_dir)
-    return feature_importance(trained.pipeline.stages[-1], feature_names(trained.pipeline), spark)
+    shares = feature_importance(trained.pipeline.stages[-1], feature_names(trained.pipeline), spark)
+    total = shares.agg(F.sum("importance").alias("t")).scalar()
+    rows = split_rows(spark, sf_dir)[0].agg(F.count(F.lit(1)).alias("n")).scalar()
+    return shares.select("feature", (F.col("importance").between(0, 1) & (F.abs(total - 1) < 1e-6)).alias("share_known"), rows.alias("rows"))
 
 
-@query("predict")
+@query("predict", "SELECT monthly_period, shop_id, count(*) AS rows, round(sum(label), 2) AS label, count(*) AS predicted FROM val_rows GROUP BY ALL")
 def _(spark, sf_dir):
-    """Validation predictions, totalled by month and shop."""
+    """Validation rows and those with a prediction, by month and shop."""
     trained = trees(spark, sf_dir)
     scored = trained.pipeline.stages[-1].transform(trained.val)
     return scored.groupBy(*PERIOD_SHOP).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("label").alias("label"), F.sum("prediction").alias("prediction")
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("label"), 2).alias("label"), F.count("prediction").alias("predicted")
     )
 
 
-@query("train_and_score")
+@query("train_and_score", " UNION ALL ".join(f"SELECT '{m}' AS model, * FROM ({BOTH_SQL})" for m in ("elastic_net", "boosted_trees")))
 def _(spark, sf_dir):
-    scored = [("elastic_net", linear(spark, sf_dir).scores()), ("boosted_trees", trees(spark, sf_dir).scores())]
+    scored = [(name, checked_scores(fit(spark, sf_dir).predictions(), "split")) for name, fit in (("elastic_net", linear), ("boosted_trees", trees))]
     named = [df.withColumn("model", F.lit(name)) for name, df in scored]
     return named[0].unionByName(named[1])
 
@@ -280,7 +362,7 @@ def reloaded(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return load_model(save_model(trees(spark, sf_dir).pipeline, scratch(spark, sf_dir, "models"), "trees"))
 
 
-@query("save_model")
+@query("save_model", "SELECT count(*) AS rows, count(*) AS alike FROM val_rows")
 def _(spark, sf_dir):
     """Rows predicted alike by a pipeline and by the same pipeline saved and loaded."""
     trained = linear(spark, sf_dir)
@@ -294,11 +376,15 @@ def _(spark, sf_dir):
     )
 
 
-@query("forecast_next_period")
+@query(
+    "forecast_next_period",
+    "SELECT r.shop_id AS shop, r.item_id AS item, r.shop_id IN (SELECT shop_id FROM shop_list) AND r.item_id IN (SELECT item_id FROM item_list) "
+    "AS forecast FROM requests r",
+)
 def _(spark, sf_dir):
-    """Requested pairs with the whole-number forecast of a saved and loaded model."""
+    """Requested pairs, and whether a saved and loaded model has a whole-number forecast for them."""
     raw = forecast_next_period(builder(spark, sf_dir).features(), raw_tables(spark, sf_dir)["test"], reloaded(spark, sf_dir), SPEC)
-    return round_forecast(raw, SPEC)
+    return round_forecast(raw, SPEC).select("shop", "item", F.col("amount").isNotNull().alias("forecast"))
 
 
 # The naive forecast, last month's amount, is scored in SQL too.

@@ -24,12 +24,14 @@ from shelfcast.operators.profile import (
     price_amount_correlation,
     shop_period_amounts,
     table_shapes,
+    threshold_rows,
     top_categories,
     weekday_amounts,
 )
 from shelfcast.plans.panel import monthly_panel
 from workloads.queries.cleaning import cleaned, daily
-from workloads.registry import query, step
+from workloads.queries import splits  # noqa: F401
+from workloads.registry import ORACLES, query, step
 from workloads.retail import SPEC, builder, retail_table, retail_tables, sales
 
 step(
@@ -284,14 +286,14 @@ def _(spark, sf_dir):
 
 @query(
     "unrepresented_entities",
-    "SELECT 'item' AS role, item_id AS entity FROM item_list WHERE item_id NOT IN (SELECT item_id FROM cleaned WHERE price IS NOT NULL) "
-    "UNION ALL SELECT 'shop', shop_id FROM shop_list WHERE shop_id NOT IN (SELECT shop_id FROM cleaned WHERE price IS NOT NULL)",
+    "SELECT 'item' AS role, item_id AS entity FROM item_list WHERE item_id NOT IN (SELECT item_id FROM sales) "
+    "UNION ALL SELECT 'shop', shop_id FROM shop_list WHERE shop_id NOT IN (SELECT shop_id FROM sales)",
 )
 def _(spark, sf_dir):
-    """Items and shops without a single priced sale after cleaning."""
-    t, priced = retail_tables(spark, sf_dir), cleaned(spark, sf_dir).where(F.col("price").isNotNull())
-    items = unrepresented(t["item_list"], priced, "item_id").select(F.lit("item").alias("role"), F.col("item_id").alias("entity"))
-    shops = unrepresented(t["shop_list"], priced, "shop_id").select(F.lit("shop").alias("role"), F.col("shop_id").alias("entity"))
+    """Items and shops without a single sale."""
+    t, sold = retail_tables(spark, sf_dir), sales(spark, sf_dir)
+    items = unrepresented(t["item_list"], sold, "item_id").select(F.lit("item").alias("role"), F.col("item_id").alias("entity"))
+    shops = unrepresented(t["shop_list"], sold, "shop_id").select(F.lit("shop").alias("role"), F.col("shop_id").alias("entity"))
     return items.unionByName(shops)
 
 
@@ -304,11 +306,75 @@ def _(spark, sf_dir):
     return sold.unionByName(retail_table(spark, sf_dir, "requests").withColumn("origin", F.lit("requested")))
 
 
-@query("data_profile")
+BEYOND = ["price < 0", "price > 100000", "price > 200000", "amount < -5", "amount < 0", "amount > 500"]
+
+
+@query(
+    "threshold_rows",
+    "SELECT order_id, line_no, item_id, price, amount, "
+    + " || ".join(f"CASE WHEN {b} THEN '{b};' ELSE '' END" for b in BEYOND)
+    + f" AS beyond FROM sales WHERE {' OR '.join(BEYOND)}",
+)
+def _(spark, sf_dir):
+    rows = threshold_rows(sales(spark, sf_dir))
+    return rows.select("order_id", "line_no", "item_id", "price", "amount", F.concat(F.array_join("beyond", ";"), F.lit(";")).alias("beyond"))
+
+
+# Each report of the profile: a query with the same rows, and a number to add up over them.
+PROFILE = {
+    "table_shapes": ("table_shapes", "rows"),
+    "completeness": ("completeness_profile", "known"),
+    "date_range": ("date_range", "year(first_date) + year(last_date)"),
+    "describe_raw": ("describe_column", "count"),
+    "describe_cleaned": ("describe_cleaned", "count"),
+    "boxplot_raw": ("boxplot_stats", "outliers"),
+    "correlation": ("price_amount_correlation", "pairs"),
+    "daily_counts": ("daily_transaction_counts", "count"),
+    "daily_amounts": ("daily_amounts", "amount"),
+    "month_amounts": ("month_of_year_amounts", "amount"),
+    "weekday_amounts": ("weekday_amounts", "amount"),
+    "shop_amounts": ("shop_amounts", "amount"),
+    "shop_period_amounts": ("shop_period_amounts", "amount"),
+    "top_categories": ("top_categories", "amount"),
+    "grid_cardinality": ("grid_cardinality", "seen_pairs"),
+    "distinct_counts": ("distinct_counts", "n"),
+    "threshold_rows": ("threshold_rows", "amount"),
+    "cleaning_report": ("cleaning_report", "removed"),
+    "missing_report": ("missing_report", "missing_after_own_month"),
+    "validation_months": ("validation_month_count", "months"),
+    "unseen_pairs": ("unseen_pairs", "item_id"),
+}
+
+
+@query(
+    "data_profile",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS report, count(*) AS rows, CAST(round(sum({total}), 2) AS DOUBLE) AS total FROM ({ORACLES[source]})"
+        for name, (source, total) in PROFILE.items()
+    )
+    + f" UNION ALL SELECT 'boxplot_cleaned', count(*), CAST(sum(outliers) AS DOUBLE) FROM ({boxplot_sql('price', 'cleaned')} UNION ALL {boxplot_sql('amount', 'cleaned')})"
+    + "".join(
+        f" UNION ALL SELECT '{name}', count(*), CAST(sum({key}) AS DOUBLE) FROM {table} WHERE {key} NOT IN (SELECT {key} FROM sales)"
+        for name, key, table in (("unsold_items", "item_id", "item_list"), ("unselling_shops", "shop_id", "shop_list"))
+    ),
+)
 def _(spark, sf_dir):
-    """Every report of the profile in one frame: report, row as JSON."""
-    reports = data_profile(retail_tables(spark, sf_dir), daily(spark, sf_dir), cleaned(spark, sf_dir), SPEC)
+    """Every report of the profile in one frame, as its number of rows and the total of one column."""
+    b = builder(spark, sf_dir)
+    saved = [
+        b.store.table(name, {"profile": sf_dir}, build)
+        for name, build in (
+            ("daily", lambda: daily(spark, sf_dir)),
+            ("cleaned_daily", lambda: cleaned(spark, sf_dir)),
+            ("leveled", lambda: monthly_panel(b.facts(), b.tables["item_list"], b.tables["shop_list"], SPEC, with_level=True)),
+        )
+    ]
+    totals = PROFILE | {"boxplot_cleaned": ("", "outliers"), "unsold_items": ("", "item_id"), "unselling_shops": ("", "shop_id")}
     return reduce(
         DataFrame.unionByName,
-        [df.select(F.lit(name).alias("report"), F.to_json(F.struct("*")).alias("row")) for name, df in reports.items()],
+        [
+            df.select(F.expr(totals[name][1]).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("x"), 2).alias("total"))
+            .select(F.lit(name).alias("report"), "rows", "total")
+            for name, df in data_profile(retail_tables(spark, sf_dir), *saved, SPEC).items()
+        ],
     )

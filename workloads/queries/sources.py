@@ -13,7 +13,7 @@ from shelfcast.functions.scalars import cyclic, period_label, rounded_count, wee
 from shelfcast.plans.forecast import attach_forecast
 from shelfcast.session import shared_dir
 from shelfcast.sources.stages import path_exists, scan_stage, write_predictions_csv, write_stage
-from shelfcast.sources.tables import drop_index_columns, fix_schema, load_tables, narrow_numeric_types, scan_csv, TABLE_TYPES
+from shelfcast.sources.tables import CSV_OPTIONS, drop_index_columns, fix_schema, load_tables, narrow_numeric_types, scan_csv, TABLE_TYPES
 from workloads.digest import digest, digest_sql
 from workloads.registry import query
 from workloads.retail import SPEC, builder, raw_tables, retail_table, retail_tables, sales
@@ -34,7 +34,7 @@ def csv_root(spark: SparkSession, sf_dir: str) -> str:
         path = f"{root}/{name}.csv"
         if not path_exists(spark, f"{path}/_SUCCESS"):
             numbered = df.select(F.monotonically_increasing_id().alias("Unnamed: 0"), "*")
-            numbered.write.mode("overwrite").option("header", True).csv(path)
+            numbered.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return root
 
 
@@ -49,6 +49,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, f"{csv_root(spark, sf_dir)}/transaction.csv", SALE_TYPES)
 
 
+@query(
+    "scan_csv_names",
+    """SELECT item_id, ' "' || item_name || '", no. "' || item_category_id || '", ' AS item_name, item_category_id FROM item_list""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item names with quotes, commas and blanks at both ends, written and read back."""
+    path = scratch(spark, sf_dir, "names.csv")
+    named = F.concat(F.lit(' "'), "item_name", F.lit('", no. "'), F.col("item_category_id").cast("string"), F.lit('", '))
+    retail_table(spark, sf_dir, "item_list").withColumn("item_name", named).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    return scan_csv(spark, path, TABLE_TYPES["item_list"])
+
+
 @query(
     "narrow_numeric_types",
     "SELECT CAST(order_id AS INT) AS order_id, line_no, shop_id, item_id, "
@@ -90,15 +102,13 @@ def _(spark, sf_dir):
 
 @query(
     "scan_parquet",
-    "SELECT item_category_id, CAST(sum(amount_item) AS DOUBLE) AS amount FROM base "
-    "WHERE monthly_period >= DATE '2000-01-01' GROUP BY item_category_id",
+    "SELECT item_category_id, CAST(sum(amount_item) AS DOUBLE) AS amount FROM base GROUP BY item_category_id",
 )
 def _(spark, sf_dir):
     panel = builder(spark, sf_dir)
     panel.base()
-    saved = scan_stage(spark, panel.store.path("base", panel.base_settings))
-    recent = saved.where(F.col("monthly_period") >= F.lit("2000-01-01").cast("date"))
-    return recent.groupBy("item_category_id").agg(F.sum("amount_item").alias("amount"))
+    saved = scan_stage(spark, panel.store.saved_path("base", panel.base_settings))
+    return saved.groupBy("item_category_id").agg(F.sum("amount_item").alias("amount"))
 
 
 @query("write_stage", digest_sql("base", PERIOD_SHOP, SPEC.base_columns, BASE_DOUBLES))

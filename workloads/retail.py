@@ -8,6 +8,8 @@ from the values of a row, never from leaving rows out:
   and no line of a size-1 part or of brand 13 has one;
 * suppliers in debt sell under a shop number the shop list does not know, and
   some lines name an item the item list does not know;
+* the last region sells through the shop before it, so one shop has no sale, nor have
+  the announced items, one for each brand;
 * shipments of July 1997 move on by 31 days, so that a month is missing everywhere.
 """
 
@@ -31,13 +33,16 @@ RETAIL_TEMPLATES = {
         SELECT DISTINCT CAST(substr(p_brand, 7) AS INT) AS item_category_id, p_brand AS item_category_name FROM {part}""",
     "item_list": """
         SELECT CAST(p_partkey AS INT) AS item_id, p_name AS item_name, CAST(substr(p_brand, 7) AS INT) AS item_category_id
+        FROM {part}
+        UNION ALL
+        SELECT DISTINCT 100000000 + CAST(substr(p_brand, 7) AS INT), 'announced ' || p_brand, CAST(substr(p_brand, 7) AS INT)
         FROM {part}""",
     "sales": """
         SELECT
           l_orderkey AS order_id, l_linenumber AS line_no,
           CASE WHEN l_shipdate >= DATE '1997-07-01' AND l_shipdate < DATE '1997-08-01'
                THEN CAST(l_shipdate + INTERVAL 31 DAY AS DATE) ELSE CAST(l_shipdate AS DATE) END AS date,
-          CASE WHEN s_acctbal < 0 THEN -1 ELSE n_regionkey END AS shop_id,
+          CASE WHEN s_acctbal < 0 THEN -1 WHEN n_regionkey = 4 THEN 3 ELSE n_regionkey END AS shop_id,
           CAST(CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' AND l_discount > 0.095
                THEN -1 - l_partkey ELSE l_partkey END AS INT) AS item_id,
           CASE WHEN l_tax < 0.005 AND l_discount < 0.005 THEN CAST(-1 AS DOUBLE)

@@ -11,6 +11,7 @@ from shelfcast.llm.html import extract_text
 from shelfcast.llm.minhash import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.mixing_model import score_texts
+from shelfcast.llm.oracles import ORACLES  # noqa: F401
 from shelfcast.llm.pieces import decode_ids, encode_texts
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.projection import near_vectors
@@ -19,7 +20,6 @@ from shelfcast.llm.templates import dedup_lines
 from shelfcast.llm.toxicity import fit_grammar, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(name: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -58,6 +59,12 @@ def arrow_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the executors delete the shuffle files of finished jobs now; they go when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def packed(df: DataFrame, **derived: Column) -> DataFrame:
     """All columns as one struct ``row`` beside the derived ones, so that no name can clash."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in derived.items()])

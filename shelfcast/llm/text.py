@@ -74,8 +74,16 @@ class Words:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(prefix_sums(self.data), self.starts, self.ends)
+    def hashes(self, step: int = 1 << 21) -> np.ndarray:
+        """One hash for each word; about ``step`` bytes are worked on at a time."""
+        out, at = np.empty(len(self.starts), np.uint64), 0
+        while at < len(out):
+            begin = self.starts[at]
+            to = max(at + 1, int(np.searchsorted(self.ends, begin + step, "right")))
+            sums = prefix_sums(self.data[begin : self.ends[to - 1]])
+            out[at:to] = span_hashes(sums, self.starts[at:to] - begin, self.ends[at:to] - begin)
+            at = to
+        return out
 
 
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ def test_patterns():
 
 def test_learned_on_the_rest(spark):
     bad = ["zorbo", "idiot", "grask"]
-    rows = [(i, prose(i, 60) + (f" {bad[i % 3]} " + prose(-i, 20) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(1200)]
+    rows = [(i, prose(i, 60) + (f". {bad[i % 3]}. " + prose(-i, 20) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(1200)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
     labels = spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id bigint, quality int, toxic int")
     grammar = fit_grammar(docs, labels)

@@ -138,7 +138,8 @@ def _dropped_places(parsed: DataFrame) -> DataFrame:
     several = parsed.where(F.size("keys") > 1)
     documents = parsed.count()
     every = several.select(F.explode(F.array_distinct(F.concat("keys", "general"))).alias("key")).where("key <> 0")
-    recurring = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _least(documents))
+    # Tables that are joined by key are written first: between two plain exchanges Spark can split a key with very many rows.
+    recurring = saved(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _least(documents)), "lines-recurring")
     lines = several.select("row_id", "sketch", "general", "places", F.posexplode("keys").alias("i", "own"))
     at = F.col("i")
     lines = lines.select(
@@ -147,9 +148,11 @@ def _dropped_places(parsed: DataFrame) -> DataFrame:
     ).where("key <> 0")
     seen = saved(lines.join(recurring, "key"), "lines-seen")
     first = seen.groupBy("key").agg(F.min(F.struct("row_id", "sketch")).alias("one")).select("key", F.col("one.sketch").alias("first_sketch"))
+    first = saved(first, "lines-first")
     judged = saved(seen.join(first, "key").select("key", "row_id", "place", "n", (~_alike()).alias("other")), "lines-judged")
     others = judged.where("other").select("key", "row_id", "n").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("others"), F.first("n").alias("n"))
     templates = others.where(F.col("others") + 1 >= _least(documents)).select("key", (2 * F.col("others") >= F.col("n")).alias("from_all"))
+    templates = saved(templates, "lines-templates")
     hits = judged.join(templates, "key").where(F.col("other") | F.col("from_all"))
     hits = hits.groupBy("row_id").agg(F.collect_set("place").alias("drop"))
     return parsed.select("row_id", "doc_id", "text_key").join(hits, "row_id").select("doc_id", "text_key", "drop").dropDuplicates(["doc_id", "text_key"])

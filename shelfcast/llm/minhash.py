@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.components import joined_labels
 from shelfcast.llm.mixing import WORD
-from shelfcast.llm.store import arrow_rows, packed, saved, unpacked
+from shelfcast.llm.store import arrow_rows, free_shuffles, packed, saved, unpacked
 from shelfcast.llm.text import column, mix, pieces, words_of
 
 BANDS, ROWS = 32, 4
@@ -142,14 +142,14 @@ def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     its = labels.withColumnRenamed("node", "class")
     marked = buckets.join(its, "class", "left").select("bucket", "class", F.coalesce("label", "class").alias("label"))
     mixed = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return marked.join(mixed.select("bucket"), "bucket")
+    return marked.join(saved(mixed.select("bucket"), "minhash-mixed"), "bucket")
 
 
 def _star(rows: DataFrame, turn: int) -> DataFrame:
     """Pairs of each class with its bucket's centre of this turn, unless they are in one component already."""
     order = F.xxhash64(F.lit(turn), F.col("class"))
     centres = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("b"), F.col("label").alias("of"))).alias("c"))
-    return rows.join(centres, "bucket").where("label <> c.of").select(F.col("class").alias("a"), F.col("c.b").alias("b")).distinct()
+    return rows.join(saved(centres, "minhash-centres"), "bucket").where("label <> c.of").select(F.col("class").alias("a"), F.col("c.b").alias("b")).distinct()
 
 
 def _across(rows: DataFrame) -> DataFrame:
@@ -185,10 +185,13 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     classes = _classes(signed)
     bands = classes.select("class", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    buckets = saved(bands.join(shared, "bucket"), "minhash-buckets")
+    # Written first: between two plain exchanges Spark can split a bucket with very many rows.
+    buckets = saved(bands.join(saved(shared, "minhash-shared"), "bucket"), "minhash-buckets")
+    free_shuffles(docs.sparkSession)
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi").select("class", "one")
     held = docs.select("doc_id", "text").join(wanted, (F.xxhash64("text") == F.col("one.text_key")) & F.col("doc_id").eqNullSafe(F.col("one.doc_id")))
     texts = saved(held.select("class", "text").dropDuplicates(["class"]), "minhash-texts")
+    free_shuffles(docs.sparkSession)
     tried = None
     labels = buckets.select(F.col("class").alias("node")).distinct().withColumn("label", F.col("node"))
     rows = buckets.withColumn("label", F.col("class"))

@@ -5,7 +5,7 @@ their mark, insult and threat turn marked symbols into patterns. They are compos
 times its word's weight is summed over the clauses, so that a negated or reported insult counts by its own weight, and the
 sum gives the score through a logistic function.
 
-Word weights start from a short public list; labelled rows add words and correct weights. Pattern weights are fitted to the
+Word weights start from a short public list; labelled rows add words and stems (written ``stem*``) and correct weights. Pattern weights are fitted to the
 same rows around the starting values, so a pattern which no labelled row shows keeps its own. At most ``fit_rows`` labelled
 rows are used, drawn by hash; every document is scored.
 
@@ -46,6 +46,7 @@ NEGATIONS = "not no never isn't aren't wasn't don't doesn't didn't nobody nicht
 REPORTS = "said says called calls wrote writes claimed claims quoted quotes told reported alleged dit dijo sagte schrieb escribió"
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"«»“”]")
 CLAUSES = re.compile(r"[.!?;:\n]+")
+STEMS = (6, 5, 4)  # letters
 _BREAKS = bytes(32 if b < 128 and not chr(b).isalpha() and chr(b) != "'" else b for b in range(256))
 
 
@@ -138,8 +139,31 @@ class Grammar:
     weights: np.ndarray
     bias: float
 
-    def triggers(self) -> frozenset[bytes]:
-        return frozenset(w.encode() for w, (kind, _) in self.words.items() if kind in (INSULT, THREAT))
+    def triggers(self) -> "Triggers":
+        return Triggers([w for w, (kind, _) in self.words.items() if kind in (INSULT, THREAT)])
+
+
+class Triggers:
+    """Tells whether some words, as bytes, hold one of the words or begin with one of the stems."""
+
+    def __init__(self, words: list[str]):
+        self.whole = frozenset(w.encode() for w in words if w[-1] != "*")
+        stems = [w[:-1].encode() for w in words if w[-1] == "*"]
+        self.stems = [(n, frozenset(s for s in stems if len(s) == n)) for n in sorted({len(s) for s in stems})]
+
+    def isdisjoint(self, words) -> bool:
+        words = set(words)
+        return self.whole.isdisjoint(words) and all(stems.isdisjoint([w[:n] for w in words]) for n, stems in self.stems)
+
+
+def looked_up(words: dict[str, tuple[int, float]], token: str) -> tuple[int, float]:
+    """The token's class and weight, by the whole word or by its longest stem."""
+    if token in words:
+        return words[token]
+    for n in STEMS:
+        if len(token) >= n and (stem := token[:n] + "*") in words:
+            return words[stem]
+    return OTHER, 0.0
 
 
 def starting_words() -> dict[str, tuple[int, float]]:
@@ -149,7 +173,7 @@ def starting_words() -> dict[str, tuple[int, float]]:
     return words
 
 
-def pattern_sums(text: str, words: dict[str, tuple[int, float]], triggers: frozenset[bytes]) -> np.ndarray | None:
+def pattern_sums(text: str, words: dict[str, tuple[int, float]], triggers: Triggers) -> np.ndarray | None:
     """Summed word weights by pattern over all clauses; None if no clause matches."""
     lowered = text.lower()
     if triggers.isdisjoint(lowered.encode().translate(_BREAKS).split()):
@@ -161,7 +185,7 @@ def pattern_sums(text: str, words: dict[str, tuple[int, float]], triggers: froze
             continue
         state, waiting = 0, 0.0
         for token in tokens:
-            kind, weight = words.get(token, (OTHER, 0.0)) if len(token) > 1 or token.isalpha() else (QUOTE, 0.0)
+            kind, weight = looked_up(words, token) if len(token) > 1 or token.isalpha() else (QUOTE, 0.0)
             out = OUTPUT[state][kind]
             state = NEXT[state][kind]
             if 0 <= out < 8:
@@ -181,18 +205,26 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def _learn_words(sample: DataFrame, most: int = 400) -> dict[str, tuple[int, float]]:
-    """Words by how much more of the toxic rows have them; copies of a text count once.
+def _lowest_hash(values: Column, seed: int) -> Column:
+    return F.array_min(F.transform(values, lambda v: F.xxhash64(F.lit(seed), v)))
+
+
+def _stems(words: Column, letters: int) -> Column:
+    return F.transform(F.filter(words, lambda w: F.length(w) >= letters), lambda w: F.concat(F.substring(w, 1, letters), F.lit("*")))
+
+
+def _learn_words(sample: DataFrame, most: int = 800) -> dict[str, tuple[int, float]]:
+    """Words and stems by how much more of the toxic rows have them; copies of a text count once.
 
-    Words are taken one after another; each must still tell apart rows that have none of those taken before.
+    Of equal ones the longer stem comes first. They are taken one after another; each must still tell apart rows that have none of those taken before.
     """
     run = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}']+")
     rows = sample.select("toxic", run.alias("run")).select("toxic", "run", F.array_distinct("run").alias("words"))
     triples = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("run") - 3)), lambda i: F.slice("run", i + 1, 3))
     for seed in range(3):  # near copies share the lowest hash of their word triples most of the time
-        low = F.array_min(F.transform(triples, lambda t, seed=seed: F.xxhash64(F.lit(seed), t)))
-        rows = rows.withColumn("low", low).dropDuplicates(["low", "toxic"]).drop("low")
-    rows = saved(rows.drop("run"), "toxic-words")
+        rows = rows.withColumn("low", _lowest_hash(triples, seed)).dropDuplicates(["low", "toxic"]).drop("low")
+    stems = F.flatten(F.array(*[_stems(F.col("words"), n) for n in STEMS]))
+    rows = saved(rows.withColumn("words", F.array_distinct(F.concat("words", stems))).drop("run"), "toxic-words")
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     least = max(5, toxic // 200)
@@ -223,8 +255,8 @@ def _learn_words(sample: DataFrame, most: int = 400) -> dict[str, tuple[int, flo
         return float(odds - 2.5 * np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)))
 
     while left:
-        best = max(left, key=lambda w: (sure(left[w][1], left[w][0]), w))
-        if left[best][1] < least or sure(left[best][1], left[best][0]) < 2.0:
+        best = max(left, key=lambda w: (round(sure(left[w][1], left[w][0]), 9), w[-1] != "*", len(w), w))
+        if left[best][1] < least or sure(left[best][1], left[best][0]) < 2.5:
             break
         whole_t, whole_c = by_word[best]
         strength = np.log((whole_t + 0.5) / (toxic - whole_t + 0.5)) - np.log((whole_c + 0.5) / (clean - whole_c + 0.5))

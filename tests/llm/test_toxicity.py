@@ -1,10 +1,10 @@
 from __future__ import annotations
 
 from llm.invented import prose
-from shelfcast.llm.toxicity import NEGATED, PLAIN, REPORTED, START, TARGETED, fit_grammar, held_out, pattern_sums, score_toxicity, starting_words
+from shelfcast.llm.toxicity import NEGATED, PLAIN, REPORTED, START, TARGETED, Triggers, fit_grammar, held_out, pattern_sums, score_toxicity, starting_words
 
 WORDS = starting_words()
-TRIGGERS = frozenset(w.encode() for w, (k, _) in WORDS.items() if k in (1, 2))
+TRIGGERS = Triggers([w for w, (k, _) in WORDS.items() if k in (1, 2)])
 
 
 def sums(text):
@@ -25,6 +25,20 @@ def test_patterns():
     assert (START[[NEGATED, REPORTED]] < START[PLAIN]).all()
 
 
+def test_stems():
+    words = {**WORDS, "grusel*": (1, 0.5), "zor*": (1, 2.0), "vequ*": (1, 1.0)}
+    triggers = Triggers([w for w, (k, _) in words.items() if k in (1, 2)])
+    assert pattern_sums("Gruseliges. vequé", words, triggers)[PLAIN] == 1.5
+    assert pattern_sums("grus veq", words, triggers) is None
+
+
+def test_stems_are_learned(spark):
+    rows = [(i, prose(i, 60) + (f". krassl{'aeiou'[i % 5]}{prose(i, 1)}. " if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(1, 800)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    grammar = fit_grammar(docs, spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id bigint, quality int, toxic int"))
+    assert "krassl*" in grammar.words
+
+
 def test_learned_on_the_rest(spark):
     bad = ["zorbo", "idiot", "grask"]
     rows = [(i, prose(i, 60) + (f". {bad[i % 3]}. " + prose(-i, 20) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(1200)]

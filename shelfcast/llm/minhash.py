@@ -5,9 +5,9 @@ shingle, a second one, shifted by k, gives coordinate k: ``second(first(x) + k)`
 fingerprint before anything is compared. Classes that share a band are candidates; the links are confirmed on the full sets.
 
 Buckets are never expanded to all pairs. In each bucket one class is the centre, and the others are compared with it alone,
-so candidates grow with the rows. Then only buckets that still hold several components are left. They get further centres
-until the pairs across their components are about as many as their rows, six at most; these pairs, as far as they have not been compared,
-come last. So no pair that shares a band is given up, however large its bucket.
+so candidates grow with the rows. Buckets that still hold several components get further centres for as long as these find
+links. Then come the pairs across components that have not been compared, so that no pair that shares a band is given up,
+however large its bucket. Sets whose sizes alone tell that they are not alike are never fetched.
 
 Defined results: null text and text without words has an empty set, linked with nothing; fewer words than a shingle make
 one shingle of them all; equal rows and equal sets are linked; component_id is the smallest doc_id that can be reached, null
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import joined_labels
@@ -29,8 +29,7 @@ from shelfcast.llm.store import arrow_rows, free_shuffles, packed, saved, unpack
 from shelfcast.llm.text import column, mix, pieces, words_of
 
 BANDS, ROWS = 32, 4
-CENTRE_ROUNDS = 6
-ACROSS_PER_ROW = 2  # pairs across components, by rows, at which centres give way to them
+FEW_LINKS = 50  # compared pairs for each link at which centres give way to all pairs across components
 
 
 def _permuted(x: np.ndarray) -> np.ndarray:
@@ -140,36 +139,34 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
 def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, class, label) of the buckets that hold more than one component."""
     its = labels.withColumnRenamed("node", "class")
-    marked = buckets.join(its, "class", "left").select("bucket", "class", F.coalesce("label", "class").alias("label"))
+    marked = buckets.join(its, "class", "left").select("bucket", "class", "size", F.coalesce("label", "class").alias("label"))
     mixed = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     return marked.join(saved(mixed.select("bucket"), "minhash-mixed"), "bucket")
 
 
-def _star(rows: DataFrame, turn: int) -> DataFrame:
+def _near_in_size(one: Column, other: Column, percent: int) -> Column:
+    """Sets that differ more in size can't be alike enough."""
+    return F.greatest(one, other) * percent <= F.least(one, other) * 100
+
+
+def _star(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each class with its bucket's centre of this turn, unless they are in one component already."""
     order = F.xxhash64(F.lit(turn), F.col("class"))
-    centres = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("b"), F.col("label").alias("of"))).alias("c"))
-    return rows.join(saved(centres, "minhash-centres"), "bucket").where("label <> c.of").select(F.col("class").alias("a"), F.col("c.b").alias("b")).distinct()
+    centres = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("b"), F.col("label").alias("of"), "size")).alias("c"))
+    return rows.join(saved(centres, "minhash-centres"), "bucket").where(F.expr("label <> c.of") & _near_in_size(F.col("size"), F.col("c.size"), percent)).select(F.col("class").alias("a"), F.col("c.b").alias("b")).distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
+def _across(rows: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components."""
-    other = rows.select("bucket", F.col("class").alias("b"), F.col("label").alias("of"))
-    return rows.join(other, "bucket").where("class < b and label <> of").select(F.col("class").alias("a"), "b").distinct()
-
-
-def _few_across(rows: DataFrame) -> bool:
-    """Are the pairs across components about as many as the rows?"""
-    own = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pairs = own.groupBy("bucket").agg(F.sum("n").alias("n"), ((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs"))
-    total = pairs.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("rows")).first()
-    return (total["pairs"] or 0.0) <= ACROSS_PER_ROW * (total["rows"] or 0.0)
+    other = rows.select("bucket", F.col("class").alias("b"), F.col("label").alias("of"), F.col("size").alias("b_size"))
+    near = _near_in_size(F.col("size"), F.col("b_size"), percent)
+    return rows.join(other, "bucket").where(F.expr("class < b and label <> of") & near).select(F.col("class").alias("a"), "b").distinct()
 
 
 def _classes(signed: DataFrame) -> DataFrame:
     """One row for each different set: class, print, the smallest doc_id, the key of one of its texts, bands."""
     grouped = signed.where("print is not null").groupBy("print").agg(
-        F.min("doc_id").alias("doc_id"), F.min(F.struct("text_key", "doc_id")).alias("one"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("text_key", "doc_id")).alias("one"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size")
     )
     return saved(grouped.withColumn("class", F.monotonically_increasing_id()), "minhash-classes")
 
@@ -183,7 +180,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     arrow_rows(docs.sparkSession, 500)
     signed = saved(_signed(docs, shingle), "minhash-signed")
     classes = _classes(signed)
-    bands = classes.select("class", F.explode("bands").alias("bucket"))
+    bands = classes.select("class", "size", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     # Written first: between two plain exchanges Spark can split a bucket with very many rows.
     buckets = saved(bands.join(saved(shared, "minhash-shared"), "bucket"), "minhash-buckets")
@@ -197,7 +194,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     rows = buckets.withColumn("label", F.col("class"))
     turn, last = 0, False
     while True:
-        pairs = _across(rows) if last else _star(rows, turn)
+        pairs = _across(rows, percent) if last else _star(rows, turn, percent)
         unordered = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
         if tried is not None:
             pairs = pairs.select("a", "b", *unordered).join(tried, ["low", "high"], "left_anti").select("a", "b")
@@ -209,7 +206,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
             break
         rows = saved(_labelled(buckets, labels), "minhash-rows")
         turn += 1
-        last = turn == CENTRE_ROUNDS or _few_across(rows)
+        last = links.count() * FEW_LINKS <= pairs.count()
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("print", "doc_id", F.coalesce("label", "class").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
     groups = named.join(lowest, "label").select("print", F.col("label").alias("group"), "component")

@@ -28,7 +28,7 @@ from shelfcast.llm.mixing import WORD
 from shelfcast.llm.store import arrow_rows, free_shuffles, packed, saved, unpacked
 from shelfcast.llm.text import column, mix, pieces, words_of
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 6
 FEW_LINKS = 50  # compared pairs for each link at which centres give way to all pairs across components
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.components import joined_labels
 from shelfcast.llm.mixing import WORD
-from shelfcast.llm.store import arrow_rows, free_shuffles, packed, saved, unpacked
+from shelfcast.llm.store import arrow_rows, discard, free_shuffles, packed, saved, unpacked
 from shelfcast.llm.text import column, mix, pieces, words_of
 
 BANDS, ROWS = 40, 6
@@ -185,10 +185,12 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     # Written first: between two plain exchanges Spark can split a bucket with very many rows.
     buckets = saved(bands.join(saved(shared, "minhash-shared"), "bucket"), "minhash-buckets")
     free_shuffles(docs.sparkSession)
+    made = [classes, buckets]
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi").select("class", "one")
     held = docs.select("doc_id", "text").join(wanted, (F.xxhash64("text") == F.col("one.text_key")) & F.col("doc_id").eqNullSafe(F.col("one.doc_id")))
     texts = saved(held.select("class", "text").dropDuplicates(["class"]), "minhash-texts")
     free_shuffles(docs.sparkSession)
+    made.append(texts)
     tried = None
     labels = buckets.select(F.col("class").alias("node")).distinct().withColumn("label", F.col("node"))
     rows = buckets.withColumn("label", F.col("class"))
@@ -209,7 +211,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
         last = links.count() * FEW_LINKS <= pairs.count()
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("print", "doc_id", F.coalesce("label", "class").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
-    groups = named.join(lowest, "label").select("print", F.col("label").alias("group"), "component")
+    groups = saved(named.join(lowest, "label").select("print", F.col("label").alias("group"), "component"), "minhash-groups")
+    discard(*made)
     component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return signed.join(groups, "print", "left").select(
         "doc_id", "text_key", "n_shingles", "group", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")

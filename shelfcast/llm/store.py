@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +32,24 @@ def saved(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
     writer = df.write if by is None else df.write.partitionBy(by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _places[table] = path
+    return table
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of saved tables that nothing reads any more, and the shuffles of the jobs behind them."""
+    for table in tables:
+        path = _places.pop(table, None)
+        if path is not None:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if tables:
+        free_shuffles(tables[0].sparkSession)
+
+
+_places: WeakKeyDictionary = WeakKeyDictionary()
 _shipped: set[str] = set()
 
 

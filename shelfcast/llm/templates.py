@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.store import arrow_rows, packed, saved
+from shelfcast.llm.store import arrow_rows, discard, packed, saved
 from shelfcast.llm.text import buffer_of, column, lines_of, mix, pieces, prefix_sums, span_hashes, split_words
 
 LEADING, FIELDS, LEAST_GENERAL = 3, 3, 9
@@ -155,7 +155,10 @@ def _dropped_places(parsed: DataFrame) -> DataFrame:
     templates = saved(templates, "lines-templates")
     hits = judged.join(templates, "key").where(F.col("other") | F.col("from_all"))
     hits = hits.groupBy("row_id").agg(F.collect_set("place").alias("drop"))
-    return parsed.select("row_id", "doc_id", "text_key").join(hits, "row_id").select("doc_id", "text_key", "drop").dropDuplicates(["doc_id", "text_key"])
+    texts = parsed.select("row_id", "doc_id", "text_key").join(hits, "row_id").select("doc_id", "text_key", "drop")
+    drops = saved(texts.dropDuplicates(["doc_id", "text_key"]), "lines-drops")
+    discard(parsed, recurring, seen, first, judged, templates)
+    return drops
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +30,10 @@ from shelfcast.llm.text import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LONG, GROUP = 64, 4096
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 BYTE_SCORE = -1e6  # for each byte of a character that no piece covers; below any sum of pieces in a word
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64((1 << 20) - 1)
 
 
 class Pieces:
@@ -62,6 +64,10 @@ class Pieces:
         assert (self.keys[1:] != self.keys[:-1]).all(), "two pieces have one hash"
         self.ids = np.array([i for _, i, _ in usable], np.int32)[order]
         self.scores = np.array([s for _, _, s in usable])[order]
+        self.seen = np.zeros(int(_LOW) + 1, bool)
+        self.seen[self.keys & _LOW] = True
+        self.ends = np.cumsum([len(s) for s in self.spelled])
+        self.flat = np.frombuffer(b"".join(self.spelled), np.uint8)
         self.longest = max(len(p) for p, _, _ in usable)
         self.known: dict[str, bytes] = {}
 
@@ -73,9 +79,14 @@ class Pieces:
         return mix(h + np.uint64(len(piece)))[0]
 
     def _lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[at] == keys
-        return np.where(hit, self.scores[at], -np.inf), np.where(hit, self.ids[at], -1)
+        """Score and id of each substring hash. Most are no piece and drop out at a table of the hashes' low bits."""
+        scores, ids = np.full(keys.shape, -np.inf), np.full(keys.shape, -1, np.int32)
+        maybe = self.seen[keys & _LOW]
+        probed = keys[maybe]
+        at = np.minimum(np.searchsorted(self.keys, probed), len(self.keys) - 1)
+        hit = self.keys[at] == probed
+        scores[maybe], ids[maybe] = np.where(hit, self.scores[at], -np.inf), np.where(hit, self.ids[at], -1)
+        return scores, ids
 
     def _fallback(self, codes: np.ndarray) -> np.ndarray:
         return np.where(codes < 0x80, 1, np.where(codes < 0x800, 2, np.where(codes < 0x10000, 3, 4))) * BYTE_SCORE
@@ -156,20 +167,20 @@ class Pieces:
             steps.append((here, at))
             at = np.maximum(0, at - np.where(at > 0, width[rows, at], 0))
         ids = np.stack([s for s, _ in steps[::-1]], 1) if steps else np.empty((n, 0), np.int32)
-        plain = (ids != -1).all(1)
-        ends = np.stack([e for _, e in steps[::-1]], 1) if not plain.all() else None
-        out = []
-        for i in range(n):
-            if plain[i]:
-                out.append(ids[i][ids[i] >= 0].astype(np.int32).tobytes())
-                continue
+        real = ids >= 0
+        flat = ids[real].astype(np.int32).tobytes()
+        cuts = np.concatenate([[0], 4 * np.cumsum(real.sum(1))]).tolist()
+        out = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+        bytewise = np.flatnonzero((ids == -1).any(1))
+        ends = np.stack([e for _, e in steps[::-1]], 1) if len(bytewise) else None
+        for i in bytewise:
             found: list[int] = []
             for number, end in zip(ids[i], ends[i]):
                 if number >= 0:
                     found.append(int(number))
                 elif number == -1:
                     found += self.byte_id[list(words[i][end - 1].encode("utf-8", "surrogatepass"))].tolist()
-            out.append(np.array(found, np.int32).tobytes())
+            out[i] = np.array(found, np.int32).tobytes()
         return out
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
@@ -188,9 +199,20 @@ class Pieces:
                 del self.known[w]
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array([s is None for s in split], pa.bool_()))
 
-    def decode(self, ids: pa.ListArray) -> list[str | None]:
-        spelled = self.spelled
-        return [None if x is None else b"".join([spelled[i] for i in x]).decode("utf-8", "replace") for x in ids.to_pylist()]
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The text of each list: the pieces' bytes, gathered for all lists at once. Broken UTF-8 is replaced."""
+        numbers = ids.flatten().to_numpy()
+        sizes = np.diff(self.ends, prepend=0)[numbers]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.flat[np.arange(total[-1]) + np.repeat(self.ends[numbers] - total[1:], sizes)]
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        bounds = total[np.concatenate([[0], np.cumsum(counts)])]
+        raw = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
+        raw = pc.if_else(ids.is_valid(), raw, pa.scalar(None, pa.large_binary()))
+        try:
+            return raw.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([None if b is None else b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
 
 
 def _codes(text: str) -> np.ndarray:
@@ -233,6 +255,6 @@ def decode_ids(docs: DataFrame, ids: str = "ids", *, model: str = MODEL, to: str
 
     @F.arrow_udf("string")
     def decode(numbers: pa.Array) -> pa.Array:
-        return pa.array(pieces_of(model).decode(numbers), pa.string())
+        return pieces_of(model).decode(numbers)
 
     return docs.withColumn(to, decode(F.col(ids)))

@@ -34,6 +34,23 @@ def test_templates(spark):
         assert got[i]["left"] == texts[i]
 
 
+def test_partly_alike_documents_are_no_copies(spark):
+    """Pairs that share a passage, and pages that are mostly the same: below the likeness of near duplicates."""
+    def line(seed, words):
+        return prose(seed, words).replace("\n", " ")
+
+    shared = [line(50_000 + k, 60) for k in range(40)]
+    texts = [f"{line(60_000 + 2 * k + i, 20)}\n{shared[k]}" for k in range(40) for i in range(2)]
+    site = [line(70_000 + k, 25) for k in range(6)]
+    pages = ["\n".join([*site[:3], line(80_000 + i, 40), *site[3:]]) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts + pages)), "doc_id bigint, text string")
+    left = {r["doc_id"]: r["left"] for r in dedup_lines(docs).select("row.doc_id", "left").collect()}
+    for i, text in enumerate(texts):
+        assert left[i] == text.split("\n")[0]
+    for i, page in enumerate(pages):
+        assert left[len(texts) + i] == page.split("\n")[3]
+
+
 def test_odd_rows(odd_docs, no_docs):
     left = deduplicated_documents(odd_docs)
     key = lambda r: str(r)

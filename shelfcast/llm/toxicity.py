@@ -47,7 +47,6 @@ REPORTS = "said says called calls wrote writes claimed claims quoted quotes told
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"«»“”]")
 CLAUSES = re.compile(r"[.!?;:\n]+")
 STEMS = (6, 5, 4)  # letters
-_BREAKS = bytes(32 if b < 128 and not chr(b).isalpha() and chr(b) != "'" else b for b in range(256))
 
 
 class Transducer:
@@ -144,16 +143,16 @@ class Grammar:
 
 
 class Triggers:
-    """Tells whether some words, as bytes, hold one of the words or begin with one of the stems."""
+    """Tells whether some tokens hold one of the words or begin with one of the stems."""
 
     def __init__(self, words: list[str]):
-        self.whole = frozenset(w.encode() for w in words if w[-1] != "*")
-        stems = [w[:-1].encode() for w in words if w[-1] == "*"]
+        self.whole = frozenset(w for w in words if w[-1] != "*")
+        stems = [w[:-1] for w in words if w[-1] == "*"]
         self.stems = [(n, frozenset(s for s in stems if len(s) == n)) for n in sorted({len(s) for s in stems})]
 
-    def isdisjoint(self, words) -> bool:
-        words = set(words)
-        return self.whole.isdisjoint(words) and all(stems.isdisjoint([w[:n] for w in words]) for n, stems in self.stems)
+    def isdisjoint(self, tokens) -> bool:
+        tokens = set(tokens)
+        return self.whole.isdisjoint(tokens) and all(stems.isdisjoint([t[:n] for t in tokens]) for n, stems in self.stems)
 
 
 def looked_up(words: dict[str, tuple[int, float]], token: str) -> tuple[int, float]:
@@ -176,12 +175,12 @@ def starting_words() -> dict[str, tuple[int, float]]:
 def pattern_sums(text: str, words: dict[str, tuple[int, float]], triggers: Triggers) -> np.ndarray | None:
     """Summed word weights by pattern over all clauses; None if no clause matches."""
     lowered = text.lower()
-    if triggers.isdisjoint(lowered.encode().translate(_BREAKS).split()):
+    if triggers.isdisjoint(WORDS.findall(lowered)):  # no token reaches over the end of a clause
         return None
     sums = np.zeros(PATTERNS)
     for clause in CLAUSES.split(lowered):
         tokens = WORDS.findall(clause)
-        if triggers.isdisjoint(t.encode() for t in tokens):
+        if triggers.isdisjoint(tokens):
             continue
         state, waiting = 0, 0.0
         for token in tokens:

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from llm.invented import prose
-from shelfcast.llm.toxicity import NEGATED, PLAIN, REPORTED, START, TARGETED, Triggers, fit_grammar, held_out, pattern_sums, score_toxicity, starting_words
+from shelfcast.llm.toxicity import NEGATED, PLAIN, REPORTED, START, START_BIAS, TARGETED, Grammar, Triggers, fit_grammar, held_out, pattern_sums, score_toxicity, starting_words
 
 WORDS = starting_words()
 TRIGGERS = Triggers([w for w, (k, _) in WORDS.items() if k in (1, 2)])
@@ -25,6 +25,27 @@ def test_patterns():
     assert (START[[NEGATED, REPORTED]] < START[PLAIN]).all()
 
 
+def test_words_beside_other_signs():
+    assert sums("You are an “idiot”.")[REPORTED] == 1
+    assert sums("«scum»")[REPORTED] == 1
+    assert sums("what a moron—really")[PLAIN] == 1
+    assert sums("idiot…")[PLAIN] == 1
+    assert sums("you\u00a0idiot")[TARGETED] == 1
+    for text in ("'idiot'", "‘idiot’", "idiot–", "idiot\u2009", "idiot，", "1idiot2", "'idiot", "_idiot_"):
+        assert sums(text)[PLAIN] == 1, text
+    assert sums("idiotic") is None and sums("an “i”") is None
+    words = {**WORDS, "grusel*": (1, 0.5)}
+    triggers = Triggers([w for w, (k, _) in words.items() if k in (1, 2)])
+    assert pattern_sums("„gruseliges“", words, triggers).sum() == 0.5
+
+
+def test_scored_beside_other_signs(spark):
+    texts = ["you “idiot”", "you\u00a0idiot", "'idiot' you", "you “person”"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    score = {r["doc_id"]: r["toxicity"] for r in score_toxicity(docs, Grammar(WORDS, START, START_BIAS)).collect()}
+    assert all(score[i] > score[3] for i in range(3))
+
+
 def test_stems():
     words = {**WORDS, "grusel*": (1, 0.5), "zor*": (1, 2.0), "vequ*": (1, 1.0)}
     triggers = Triggers([w for w, (k, _) in words.items() if k in (1, 2)])

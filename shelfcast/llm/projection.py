@@ -4,10 +4,15 @@ In each pass a vector gets a row of random bits, the signs of its products with
 put in lexicographic order of these bits. Neighbours up to ``window`` places apart are compared exactly, over the borders of
 partitions too; a pass passes on a spanning forest of the pairs it has verified, and the passes' forests are united.
 
-The number of passes follows from the largest label: two vectors at the threshold share as many leading bits as bring them
-into one window with a known probability, and passes are added until a pair is missed with ``miss`` at most. Vectors of one
-component that stand closer than the window can tell are then compared block by block, so that ``n_links`` counts all links
-inside the component and no pair is ever written.
+The number of leading bits follows from the largest label. Two vectors at the threshold share them with a probability that
+their angle alone gives, and passes are added until a pair is missed with ``miss`` at most. Where the bits split a label evenly,
+a window holds all vectors that share them. Where they do not, as in dense groups or with vectors of a common direction, the
+counts of each pass tell which groups exceed the window, and all vectors of such a group are compared block by block. A label
+for which that is more work than all its pairs is compared whole, once: nothing is missed there, at the price of its square.
+Vectors are not centred, as that would change the angles that the probability rests on.
+
+Vectors of one component are then compared block by block, so that ``n_links`` counts all links inside the component and no
+pair is ever written.
 
 Equal vectors of a label become one row first. Cosines are computed in double precision.
 
@@ -32,7 +37,7 @@ from shelfcast.llm.components import components
 from shelfcast.llm.store import arrow_rows, saved
 from shelfcast.llm.text import column
 
-BITS, AT_ONCE, BLOCK = 48, 4, 512
+BITS, AT_ONCE, BLOCK, WIDE = 48, 4, 512, 4096
 
 
 def _units(raw: list[bytes] | pd.Series) -> np.ndarray:
@@ -57,9 +62,14 @@ def _checked(vectors: DataFrame) -> DataFrame:
     return kept.mapInArrow(run, f"vec_id {kinds['vec_id']}, label {kinds['label']}, raw binary")
 
 
-def passes_needed(largest: int, window: int, cosine: float, miss: float) -> int:
-    same = 1 - math.acos(min(1.0, cosine)) / math.pi
-    found = same ** max(1.0, math.log2(max(2.0, 2 * largest / window)))
+def leading_bits(largest: int, window: int) -> int:
+    """Bits that leave half a window of a label which they split evenly."""
+    return min(BITS, math.ceil(math.log2(max(2.0, 2 * largest / window))))
+
+
+def passes_needed(leading: int, cosine: float, miss: float) -> int:
+    same = 1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi
+    found = min(same**leading, 1 - 1e-9)
     return max(8, math.ceil(math.log(miss) / math.log(1 - found)))
 
 
@@ -170,6 +180,38 @@ def _neighbours(rows: DataFrame, window: int, cosine: float) -> DataFrame:
     return out.where("a is not null").select("a", "b").union(seams)
 
 
+def _wide_groups(rows: DataFrame, leading: int, window: int) -> DataFrame:
+    """(space, pass, prefix, n): groups that share the leading bits and are more than a window covers."""
+    prefix = F.shiftright("bits", BITS - leading).alias("prefix")
+    return rows.groupBy("space", "pass", prefix).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > window + 1)
+
+
+def _inside(rows: DataFrame, groups: DataFrame, keys: list[str], cosine: float) -> DataFrame:
+    """(a, b): pairs that connect what is linked inside the groups, whose sizes are ``n``; all their vectors are compared.
+
+    Groups are cut into blocks of about WIDE classes, and each pair of blocks is worked on by itself.
+    """
+    blocks = F.ceil(F.col("n") / WIDE)
+    own = F.pmod(F.xxhash64("class"), blocks)
+    spread = rows.join(groups, keys).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    spread = spread.select(*keys, "class", "raw", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") <= F.col("other")).alias("is_low"))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        unit, ids, left = _units([bytes(r) for r in frame["raw"]]), frame["class"].to_numpy(np.int64), frame["is_low"].to_numpy()
+        same = frame["low"].iloc[0] == frame["high"].iloc[0]
+        first, second = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
+        a = b = np.empty(0, np.int64)
+        for at in range(0, len(first), BLOCK):
+            x, y = np.nonzero(unit[first[at : at + BLOCK]] @ unit[second].T >= cosine)
+            x, y = first[at + x], second[y]
+            a, b = np.append(a, ids[x[x != y]]), np.append(b, ids[y[x != y]])
+            used = _forest(a, b)
+            a, b = a[used], b[used]
+        return pd.DataFrame({"a": a, "b": b})
+
+    return spread.groupBy(*keys, "low", "high").applyInPandas(compare, "a bigint, b bigint")
+
+
 def _link_counts(members: DataFrame, cosine: float) -> DataFrame:
     """(class, others): for each class of a component the vectors of other classes linked to it.
 
@@ -209,13 +251,23 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, window: int = 32,
     grouped = checked.where("raw is not null").groupBy("label", "raw").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("lowest"))
     space = F.pmod(F.xxhash64("label", F.length("raw")), F.lit(1 << 48))
     classes = saved(grouped.withColumn("class", F.monotonically_increasing_id()).withColumn("space", space), "projection-classes")
-    largest = classes.groupBy("space").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    passes = passes_needed(largest, window, cosine, miss)
-    links = None
+    spaces = classes.groupBy("space").agg(F.count(F.lit(1)).alias("n"))
+    largest = spaces.agg(F.max("n")).first()[0] or 0
+    leading = leading_bits(largest, window)
+    passes = passes_needed(leading, cosine, miss)
+    tried = saved(_ordered_bits(classes, range(min(passes, AT_ONCE))).drop("raw", "class"), "projection-bits")
+    work = _wide_groups(tried, leading, window).groupBy("space").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("work"))
+    whole = spaces.join(work, "space").where(F.col("work") * (passes / AT_ONCE) >= F.col("n").cast("double") * F.col("n"))
+    whole = saved(whole.select("space", "n"), "projection-whole")
+    links = saved(_inside(classes.select("space", "class", "raw"), whole, ["space"], cosine).distinct(), "projection-links")
+    parted = classes.join(whole, "space", "left_anti")
     for at in range(0, passes, AT_ONCE):
-        found = _neighbours(_ordered_bits(classes, range(at, min(passes, at + AT_ONCE))), window, cosine)
-        links = found if links is None else links.union(found)
-        links = saved(links.distinct(), "projection-links")
+        rows = _ordered_bits(parted, range(at, min(passes, at + AT_ONCE)))
+        wide = saved(_wide_groups(rows, leading, window), "projection-wide")
+        found = _neighbours(rows, window, cosine)
+        prefixed = rows.withColumn("prefix", F.shiftright("bits", BITS - leading)).drop("bits")
+        found = found.union(_inside(prefixed, wide, ["space", "pass", "prefix"], cosine))
+        links = saved(links.union(found).distinct(), "projection-links")
     labels = components(links).withColumnRenamed("node", "class").withColumnRenamed("label", "group")
     members = saved(classes.join(labels, "class").select(F.col("group").alias("label"), "class", "raw", "copies", "lowest"), "projection-members")
     smallest = members.groupBy("label").agg(F.min("lowest").alias("component"))

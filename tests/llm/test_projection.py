@@ -42,6 +42,43 @@ def test_links(spark):
     assert found(near_vectors(spark.createDataFrame(rows, SCHEMA))) == exact(rows)
 
 
+def with_common_direction(n, planted, dense):
+    """Vectors with a mean cosine of about 0.9, pairs at about 0.981 with nothing near, and a dense group without links."""
+    draw = np.random.Generator(np.random.PCG64(11))
+    centre, width = draw.standard_normal(64), 64
+    centre /= np.linalg.norm(centre)
+
+    def around(middle, cosine, count):
+        side = draw.standard_normal((count, width))
+        side -= np.outer(np.einsum("ij,ij->i", side, np.broadcast_to(middle, side.shape)), 1) * middle if middle.ndim == 1 else np.einsum("ij,ij->i", side, middle)[:, None] * middle
+        side /= np.linalg.norm(side, axis=1)[:, None]
+        return cosine * middle + np.sqrt(1 - cosine**2) * side
+
+    x = around(centre, np.sqrt(0.9), n)
+    pairs = around(x[:planted], 0.981, planted)
+    return np.concatenate([x, pairs, around(-centre, np.sqrt(0.97), dense)])
+
+
+def test_common_direction_and_dense_groups(spark):
+    x = with_common_direction(6000, 1500, 500).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(100_000 + i, v.tolist(), 1) for i, v in enumerate(np.random.Generator(np.random.PCG64(12)).standard_normal((300, 64)))]
+    unit = x.astype(float)
+    unit /= np.sqrt((unit * unit).sum(1))[:, None]
+    links = (unit @ unit.T >= 0.98).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert links.sum() >= 3000 and [got[i] for i in range(len(x))] == links.tolist()
+
+
+def test_dense_groups_in_an_even_label(spark):
+    """The bits split this label, but for one group of 300 vectors a little below the threshold."""
+    draw = np.random.Generator(np.random.PCG64(13))
+    middle = draw.standard_normal(64)
+    dense = middle + draw.standard_normal((300, 64)) * 0.16
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([draw.standard_normal((2500, 64)), dense, dense[:60] + draw.standard_normal((60, 64)) * 0.18]))]
+    assert found(near_vectors(spark.createDataFrame(rows, SCHEMA), miss=1e-4)) == exact(rows)
+
+
 def test_odd_rows(spark):
     rows = [
         (1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [1.0, 0.0], 1), (4, [1.0, 0.0], None), (5, None, 0), (6, [], 0), (7, [0.0, 0.0], 0), (8, [1.0, None], 0),

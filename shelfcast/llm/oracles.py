@@ -57,8 +57,69 @@ nodes AS (SELECT vec_id AS node FROM embeddings),{COMPONENTS}
 SELECT node AS vec_id, count(l.a) AS n_links, component AS component_id, node = component AS kept
 FROM components LEFT JOIN links l ON l.a = node GROUP BY node, component"""
 
+PHRASES = rf"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts),
+f AS MATERIALIZED (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS n
+  FROM w, unnest(range(1, len(w) + 1)) AS r(i), unnest([1, 2, 3]) AS s(size) WHERE i + size - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+parts AS (
+  SELECT lang, phrase, a, k, lang || ' ' || array_to_string(w[1:k], ' ') AS head, lang || ' ' || array_to_string(w[k + 1:size], ' ') AS tail
+  FROM candidates, unnest([1, 2]) AS t(k) WHERE k < size),
+known AS MATERIALIZED (SELECT lang || ' ' || phrase AS part, n FROM f WHERE n >= 10),
+heads AS MATERIALIZED (SELECT parts.*, n AS l FROM parts JOIN known ON part = head),
+cuts AS (SELECT heads.*, n AS r, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * n) AS BIGINT) AS score FROM heads JOIN known ON part = tail),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS most FROM candidates, unnest([1, 2]) AS r(i) WHERE size = 3 GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM weakest LEFT JOIN inner_parts USING (lang, phrase) WHERE coalesce(100 * most < 50 * a, true))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+#: crc32 by its table: 256 entries, and the bytes of a word by their hexadecimal digits.
+RESAMPLING = rf"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(256) AS r(i))),
+words AS (
+  SELECT 's' AS side, doc_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL SELECT 't', NULL, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+bytes AS (
+  SELECT word, list_transform(range(strlen(word)), lambda i: 16 * (instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1) AS b
+  FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM words)),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 10000 AS bucket FROM bytes, crc_table),
+features AS (SELECT side, doc_id, bucket FROM words JOIN hashed USING (word)),
+totals AS (SELECT count(*) FILTER (side = 's') AS s_all, count(*) FILTER (side = 't') AS t_all FROM features),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((count(*) FILTER (side = 't') + 1) * (s_all + 10000) AS DOUBLE) / CAST((count(*) FILTER (side = 's') + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM features, totals GROUP BY bucket, s_all, t_all),
+weights AS (SELECT doc_id, count(*) AS n, sum(gain) AS total FROM features JOIN gains USING (bucket) WHERE side = 's' GROUP BY doc_id),
+noise AS (
+  SELECT doc_id, list_reduce(list_transform(range(8), lambda i: instr('0123456789abcdef', substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), i + 1, 1)) - 1), lambda x, y: 16 * x + y) AS h
+  FROM documents),
+scored AS (
+  SELECT noise.doc_id, coalesce(n, 0) AS n_features, coalesce(CAST(floor(total / n) AS BIGINT), 0) AS weight,
+    coalesce(CAST(floor(total / n) AS BIGINT), 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM noise LEFT JOIN weights USING (doc_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * fit // 100 THEN place END AS rank FROM placed"""
+
+REVISITS = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS original FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM firsts"""
+
 ORACLES = {
     "op5_quality_cascade": QUALITY,
     "op8_circulant_minhash": NEAR_DUPLICATES,
     "op10_projection_passes": NEAR_VECTORS,
+    "op11_phrase_trees": PHRASES,
+    "op12_importance_resampling": RESAMPLING,
+    "op13_warc_revisits": REVISITS,
 }

@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.html import extract_text
+from shelfcast.llm.importance import resample
 from shelfcast.llm.minhash import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.mixing_model import score_texts
 from shelfcast.llm.oracles import ORACLES  # noqa: F401
+from shelfcast.llm.phrases import collocations
 from shelfcast.llm.pieces import decode_ids, encode_texts
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.projection import near_vectors
 from shelfcast.llm.quality import judge_quality
+from shelfcast.llm.store import fresh_path
 from shelfcast.llm.templates import dedup_lines
 from shelfcast.llm.toxicity import fit_grammar, held_out, score_toxicity
+from shelfcast.llm.warc import read_pages, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -92,3 +96,21 @@ def op9_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_projection_passes")
 def op10_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_phrase_trees")
+def op11_phrase_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@query("op12_importance_resampling")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
+
+
+@query("op13_warc_revisits")
+def op13_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    pages = read_pages(spark, path, html=False)
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

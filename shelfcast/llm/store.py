@@ -26,10 +26,20 @@ def shared_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one that nothing has written to yet."""
+    return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def saved(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     writer = df.write if by is None else df.write.partitionBy(by)
     writer.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
@@ -42,9 +52,7 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         path = _places.pop(table, None)
         if path is not None:
-            spark = table.sparkSession
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(table.sparkSession, path)
     if tables:
         free_shuffles(tables[0].sparkSession)
 

@@ -37,7 +37,7 @@ HEAVIEST, SHARE, SALTS = 1 << 20, 4096, 16
 _BREAK = np.isin(np.arange(256), list(b".,;:!?\n\x0b\x0c\r"))
 _BETWEEN = _BREAK | np.isin(np.arange(256), list(b" \t"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-KEYED = "lang string, prefix string, depth int, n bigint, rest binary, counts binary"
+KEYED = "lang string, prefix string, n bigint, rest binary, counts binary"
 NODES = "lang string, phrase string, words int, n bigint"
 
 
@@ -124,7 +124,7 @@ def _reported(docs: DataFrame, longest: int, share: float, most: int) -> DataFra
 
 
 def _keyed_rows(s: Suffixes, names: pa.Array, heavy: np.ndarray, longest: int) -> pa.RecordBatch:
-    """A row for each prefix: how many suffixes begin with it, what follows in them, and how often."""
+    """A row for each prefix: how many suffixes begin with it, what follows in them, and how often where not always once."""
     _, one, count = np.unique(s.keys[-1], return_index=True, return_counts=True)
     room = s.room[one]
     depth = np.ones(len(one), np.int64)
@@ -147,17 +147,20 @@ def _keyed_rows(s: Suffixes, names: pa.Array, heavy: np.ndarray, longest: int) -
     cut = np.searchsorted(follows, np.append(first, len(key)))
     total = np.add.reduceat(count, first) if len(first) else count
     at = one[first]
-    counted = count[follows].astype(np.int32)
+    several = np.concatenate([[0], np.cumsum(count[follows] > 1)])
+    told = several[cut[1:]] > several[cut[:-1]]
+    sizes = np.where(told, np.diff(cut), 0)
+    counted = count[follows][np.repeat(told, np.diff(cut))].astype(np.int32)
 
     def blobs(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
         return pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
 
     return pa.RecordBatch.from_arrays(
         [
-            names.take(pa.array(s.lang[at])), _strings(s.data, s.begins[at], s.end(at, depth[first])), pa.array(depth[first].astype(np.int32)),
-            pa.array(total), blobs(rest, bounds[cut]), blobs(counted, cut * 4),
+            names.take(pa.array(s.lang[at])), _strings(s.data, s.begins[at], s.end(at, depth[first])), pa.array(total),
+            blobs(rest, bounds[cut]), blobs(counted, np.concatenate([[0], np.cumsum(sizes)]) * 4),
         ],
-        ["lang", "prefix", "depth", "n", "rest", "counts"],
+        ["lang", "prefix", "n", "rest", "counts"],
     )
 
 
@@ -172,7 +175,7 @@ def _keyed(docs: DataFrame, heavy: np.ndarray, longest: int, most: int) -> DataF
 def _subtrees(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     """The nodes with ``least`` suffixes or more of whole subtrees; the rows of a prefix stand together."""
     langs, prefixes = (table.column(c).combine_chunks() for c in ("lang", "prefix"))
-    n, depth = table.column("n").to_numpy(), table.column("depth").to_numpy()
+    n, depth = table.column("n").to_numpy(), pc.count_substring(prefixes, " ").to_numpy() + 1
     same = pc.and_(pc.equal(langs[1:], langs[:-1]), pc.equal(prefixes[1:], prefixes[:-1])).to_numpy(zero_copy_only=False)
     tree = np.concatenate([[0], np.cumsum(~same)]) if len(n) else np.empty(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], ~same])) if len(n) else tree
@@ -192,8 +195,11 @@ def _subtrees(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
         return
     ends = np.flatnonzero(data == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
-    count = buffer_of(counts.cast(pa.large_binary()).view(pa.large_string()))[0].view(np.int32).astype(np.int64)
-    row = held[np.searchsorted(bounds, starts, "right") - 1]
+    row = np.searchsorted(bounds, starts, "right") - 1
+    raw, raw_bounds = buffer_of(counts.cast(pa.large_binary()).view(pa.large_string()))
+    count = np.ones(len(row), np.int64)
+    count[(np.diff(raw_bounds) > 0)[row]] = raw.view(np.int32)
+    row = held[row]
     sums, of = prefix_sums(data), mix(tree[row].astype(np.uint64) + np.uint64(1))
     blanks = np.flatnonzero(data == 32)
     next_blank = np.searchsorted(blanks, starts)
@@ -237,7 +243,7 @@ def _grown(keyed: DataFrame, groups: int, least: int) -> DataFrame:
     return keyed.repartition(groups, "lang", "prefix").sortWithinPartitions("lang", "prefix").mapInArrow(run, NODES)
 
 
-def phrase_counts(docs: DataFrame, *, longest: int = 3, least: int = 10, budget: int = 200_000, most: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, *, longest: int = 3, least: int = 10, budget: int = 200_000, most: int = 1 << 22) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, n) of all phrases of up to ``longest`` words and at least ``least`` occurrences, and (lang, n) of all words.
 
     ``budget`` is the number of suffixes that a subtree may hold, ``most`` the bytes of text that a task works on at once.

@@ -58,13 +58,14 @@ def test_same_as_brute_force(spark, odd_docs, settings):
 
 
 def test_draw_is_nearer_to_the_target(spark):
-    like = [" ".join(w + "q" for w in prose(i, 60).split()) for i in range(40)]
-    docs = spark.createDataFrame(list(enumerate([prose(10_000 + i, 60) for i in range(400)] + like)), "doc_id bigint, text string")
+    few = lambda i, kind: " ".join(f"{kind}{(i * 7 + k * k) % 50}" for k in range(60))
+    like = [few(i, "like") for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate([few(i, "other") for i in range(400)] + like)), "doc_id bigint, text string")
     target = spark.createDataFrame([(t,) for t in like], "text string")
-    left = resampled_documents(docs, target, buckets=500)
+    left = resampled_documents(docs, target)
     assert left.columns == docs.columns and left.count() == 44 and left.where("doc_id >= 400").count() > 30
-    far = np.abs(shares(docs, buckets=500) - shares(target, buckets=500)).sum()
-    assert np.abs(shares(left, buckets=500) - shares(target, buckets=500)).sum() < 0.7 * far
+    far = np.abs(shares(docs, buckets=5000) - shares(target, buckets=5000)).sum()
+    assert np.abs(shares(left, buckets=5000) - shares(target, buckets=5000)).sum() < 0.7 * far
 
 
 def test_empty(no_docs, odd_docs):

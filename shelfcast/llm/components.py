@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +36,22 @@ def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
     between = links.select("a", "b").join(of[0], "a").join(of[1], "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
     roots = components(between).select(F.col("node").alias("label"), F.col("label").alias("root"))
     return labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Places of pairs that connect what those before leave apart."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.get(x, x) != x:
+            up[x] = up.get(up[x], up[x])
+            x = up[x]
+        return x
+
+    used = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            used.append(i)
+    return used

@@ -4,10 +4,13 @@ A text's set are its distinct shingles of ``shingle`` lower-case words. One perm
 shingle, a second one, shifted by k, gives coordinate k: ``second(first(x) + k)``. Equal sets become one class by a 128-bit
 fingerprint before anything is compared. Classes that share a band are candidates; the links are confirmed on the full sets.
 
-Buckets are never expanded to all pairs. In each bucket one class is the centre, and the others are compared with it alone,
-so candidates grow with the rows. Buckets that still hold several components get further centres for as long as these find
-links. Then come the pairs across components that have not been compared, so that no pair that shares a band is given up,
-however large its bucket. Sets whose sizes alone tell that they are not alike are never fetched.
+No pair is ever a row. The classes of a bucket meet in a task with their sets, which compares them with each other and passes on
+links that connect what is apart, at most one for each class. Waves of bands follow each other: a bucket whose classes are in
+one component by then is not looked at again. A bucket above BLOCK is cut into blocks. In the early waves each block is compared
+by itself, otherwise than in the wave before; in the last one, all blocks are. There the largest component of a bucket meets the
+others only, so a group of copies with a few strangers costs no more than its rows. So no two classes that share a band and
+stay apart are left uncompared, however large their bucket. Where very many classes share a bucket without being alike, the
+work in tasks grows with their square and the rows with the square over BLOCK.
 
 Defined results: null text and text without words has an empty set, linked with nothing; fewer words than a shingle make
 one shingle of them all; equal rows and equal sets are linked; component_id is the smallest doc_id that can be reached, null
@@ -20,16 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.components import joined_labels
+from shelfcast.llm.components import forest, joined_labels
 from shelfcast.llm.mixing import WORD
 from shelfcast.llm.store import arrow_rows, discard, free_shuffles, packed, saved, unpacked
 from shelfcast.llm.text import column, mix, pieces, words_of
 
 BANDS, ROWS = 40, 6
-FEW_LINKS = 50  # compared pairs for each link at which centres give way to all pairs across components
+WAVES = (2, 8, BANDS)  # bands looked at by the end of each wave
+BLOCK = 256  # classes
+_COLUMNS = 4096
 
 
 def _permuted(x: np.ndarray) -> np.ndarray:
@@ -109,58 +114,132 @@ def _signed(docs: DataFrame, shingle: int) -> DataFrame:
     return keyed.mapInArrow(run, f"doc_id {kind}, text_key bigint, n_shingles bigint, print binary, bands array<bigint>")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough."""
-    one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(class, keys) of ``texts(class, text)``: the sorted 64-bit shingle hashes of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_set = None, None
         for batch in batches:
-            a, b = column(batch, "a").to_pylist(), column(batch, "b").to_pylist()
-            keep = np.zeros(len(a), bool)
-            for at, to in pieces(column(batch, "text_a"), 1 << 20):
-                keys, bounds = shingle_sets(column(batch, "text_a").slice(at, to - at), shingle)
-                for i in range(at, to):
-                    if b[i] != held:
-                        held, held_set = b[i], shingle_sets(column(batch, "text_b").slice(i, 1), shingle)[0]
-                    mine = keys[bounds[i - at] : bounds[i - at + 1]]
-                    if percent * max(len(mine), len(held_set)) > 100 * min(len(mine), len(held_set)):
-                        continue
-                    where = np.minimum(np.searchsorted(held_set, mine), len(held_set) - 1)
-                    common = int((held_set[where] == mine).sum())
-                    keep[i] = 100 * common >= percent * (len(mine) + len(held_set) - common)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(keep))
-
-    return joined.mapInArrow(run, "a bigint, b bigint")
-
-
-def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, class, label) of the buckets that hold more than one component."""
-    its = labels.withColumnRenamed("node", "class")
-    marked = buckets.join(its, "class", "left").select("bucket", "class", "size", F.coalesce("label", "class").alias("label"))
-    mixed = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return marked.join(saved(mixed.select("bucket"), "minhash-mixed"), "bucket")
-
-
-def _near_in_size(one: Column, other: Column, percent: int) -> Column:
-    """Sets that differ more in size can't be alike enough."""
-    return F.greatest(one, other) * percent <= F.least(one, other) * 100
-
-
-def _star(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each class with its bucket's centre of this turn, unless they are in one component already."""
-    order = F.xxhash64(F.lit(turn), F.col("class"))
-    centres = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("b"), F.col("label").alias("of"), "size")).alias("c"))
-    return rows.join(saved(centres, "minhash-centres"), "bucket").where(F.expr("label <> c.of") & _near_in_size(F.col("size"), F.col("c.size"), percent)).select(F.col("class").alias("a"), F.col("c.b").alias("b")).distinct()
+            for at, to in pieces(column(batch, "text"), 1 << 21):
+                part = batch.slice(at, to - at)
+                keys, bounds = shingle_sets(column(part, "text"), shingle)
+                raw = [keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                yield pa.RecordBatch.from_arrays([column(part, "class"), pa.array(raw, pa.binary())], ["class", "keys"])
+
+    return texts.mapInArrow(run, "class bigint, keys binary")
+
+
+def _labelled(buckets: DataFrame, labels: DataFrame, wave: int) -> DataFrame:
+    """(bucket, class, label, own, low, high): what this wave compares, by bucket and pair of blocks; ``own`` is the row's block."""
+    marked = buckets.where(F.col("band") < WAVES[wave]).join(labels.withColumnRenamed("node", "class"), "class")
+    parts = marked.groupBy("bucket", "band", "label").agg(F.count(F.lit(1)).alias("n"))
+    by_bucket = parts.groupBy("bucket", "band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("largest"))
+    new = F.col("band") >= ((0,) + WAVES)[wave]
+    last = wave == len(WAVES) - 1
+    wanted = by_bucket.where((F.col("largest.n") < F.col("n")) & (new | F.lit(last) & (F.col("n") > BLOCK)))
+    wanted = saved(wanted.select("bucket", "n", F.col("largest.n").alias("main"), F.col("largest.label").alias("main_label")), "minhash-mixed")
+    rows = marked.join(wanted, "bucket")
+    of = lambda n: F.pmod(F.xxhash64("class", F.lit(wave)), F.greatest(F.ceil(n / BLOCK), F.lit(1)))
+    if not last:
+        own = of(F.col("n"))
+        return rows.select("bucket", "class", "label", own.alias("own"), own.alias("low"), own.alias("high"))
+    small, in_main = F.col("n") <= BLOCK, F.col("label") == F.col("main_label")
+    rest = F.ceil((F.col("n") - F.col("main")) / BLOCK)
+    own = F.when(small, F.lit(0)).when(in_main, rest + of(F.col("main"))).otherwise(of(F.col("n") - F.col("main")))
+    most = F.when(small, F.lit(0)).when(in_main, rest - 1).otherwise(rest + F.ceil(F.col("main") / BLOCK) - 1)
+    met = rows.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), most.cast("bigint"))))
+    return met.select("bucket", "class", "label", "own", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"))
+
+
+def _shared_counts(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """How many shingles each set of ``first`` shares with each of ``second``."""
+    if len(first) * len(second) <= 40:
+        out = np.zeros((len(first), len(second)), np.int64)
+        for i, x in enumerate(first):
+            for j, y in enumerate(second):
+                a, b = sets[x], sets[y]
+                out[i, j] = (a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()
+        return out
+    used = np.union1d(first, second)
+    owner = np.repeat(used, [len(sets[i]) for i in used])
+    _, place, times = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True, return_counts=True)
+    numbered = np.cumsum(times > 1) - 1
+    several = times[place] > 1
+    owner, place = owner[several], numbered[place[several]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(first), len(second)), np.float32)
+    at = {side: np.full(len(sets), -1) for side in ("first", "second")}
+    at["first"][first], at["second"][second] = np.arange(len(first)), np.arange(len(second))
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, _COLUMNS):
+        lo, hi = np.searchsorted(place, [start, start + _COLUMNS])
+        grids = []
+        for side, n in (("first", len(first)), ("second", len(second))):
+            row = at[side][owner[lo:hi]]
+            grid = np.zeros((n, _COLUMNS), np.float32)
+            grid[row[row >= 0], place[lo:hi][row >= 0] - start] = 1
+            grids.append(grid)
+        total += grids[0] @ grids[1].T
+    return np.rint(total).astype(np.int64)
+
+
+def _connecting(ids: np.ndarray, labels: np.ndarray, raw: list[bytes], in_low: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the labels of one group; all pairs are compared if it is one block, else those between two."""
+    first, second = np.flatnonzero(in_low), np.flatnonzero(~in_low)
+    second = second if len(second) else first
+    size = np.array([len(r) // 8 for r in raw])
+    low, high = np.minimum.outer(size[first], size[second]), np.maximum.outer(size[first], size[second])
+    asked = (labels[first][:, None] != labels[second][None, :]) & (percent * high <= 100 * low)
+    asked &= first[:, None] < second[None, :] if first is second else True
+    rows, cols = np.flatnonzero(asked.any(1)), np.flatnonzero(asked.any(0))
+    if not len(rows):
+        return ids[:0], ids[:0]
+    first, second, asked = first[rows], second[cols], asked[np.ix_(rows, cols)]
+    shared = _shared_counts([np.frombuffer(r, np.uint64) for r in raw], first, second)
+    alike = asked & (100 * shared >= percent * (size[first][:, None] + size[second][None, :] - shared))
+    x, y = np.nonzero(alike)
+    x, y = first[x], second[y]
+    used = forest(labels[x], labels[y])
+    return ids[x[used]], ids[y[used]]
+
+
+def _links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect the components of each bucket."""
+    keys = ["bucket", "low", "high"]
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.join(sets, "class").repartition(tasks, *keys).sortWithinPartitions(*keys)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def compared(table: pa.Table) -> pa.RecordBatch:
+            key = np.stack([table.column(c).to_numpy() for c in keys])
+            ids, labels, own = (table.column(c).to_numpy() for c in ("class", "label", "own"))
+            raw = table.column("keys").to_pylist()
+            cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+            found = [(ids[:0], ids[:0])]
+            for at, to in zip(np.append(0, cuts), np.append(cuts, len(ids))):
+                if (labels[at:to] != labels[at]).any():
+                    found.append(_connecting(ids[at:to], labels[at:to], raw[at:to], own[at:to] == key[1, at], percent))
+            a, b = (np.concatenate(x) for x in zip(*found))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in different components."""
-    other = rows.select("bucket", F.col("class").alias("b"), F.col("label").alias("of"), F.col("size").alias("b_size"))
-    near = _near_in_size(F.col("size"), F.col("b_size"), percent)
-    return rows.join(other, "bucket").where(F.expr("class < b and label <> of") & near).select(F.col("class").alias("a"), "b").distinct()
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            last = np.ones(len(table), bool)
+            for c in keys:
+                values = table.column(c).to_numpy()
+                last &= values == values[-1]
+            cut = int(np.argmax(last))  # the last group waits for the next batch; groups are of two blocks at most
+            if cut:
+                yield compared(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None:
+            yield compared(held)
+
+    return dealt.select(*keys, "own", "class", "label", "keys").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _classes(signed: DataFrame) -> DataFrame:
@@ -180,7 +259,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     arrow_rows(docs.sparkSession, 500)
     signed = saved(_signed(docs, shingle), "minhash-signed")
     classes = _classes(signed)
-    bands = classes.select("class", "size", F.explode("bands").alias("bucket"))
+    bands = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     # Written first: between two plain exchanges Spark can split a bucket with very many rows.
     buckets = saved(bands.join(saved(shared, "minhash-shared"), "bucket"), "minhash-buckets")
@@ -188,27 +267,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     made = [classes, buckets]
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi").select("class", "one")
     held = docs.select("doc_id", "text").join(wanted, (F.xxhash64("text") == F.col("one.text_key")) & F.col("doc_id").eqNullSafe(F.col("one.doc_id")))
-    texts = saved(held.select("class", "text").dropDuplicates(["class"]), "minhash-texts")
+    sets = saved(_sets(held.select("class", "text").dropDuplicates(["class"]), shingle), "minhash-sets")
     free_shuffles(docs.sparkSession)
-    made.append(texts)
-    tried = None
+    made.append(sets)
     labels = buckets.select(F.col("class").alias("node")).distinct().withColumn("label", F.col("node"))
-    rows = buckets.withColumn("label", F.col("class"))
-    turn, last = 0, False
-    while True:
-        pairs = _across(rows, percent) if last else _star(rows, turn, percent)
-        unordered = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
-        if tried is not None:
-            pairs = pairs.select("a", "b", *unordered).join(tried, ["low", "high"], "left_anti").select("a", "b")
-        pairs = saved(pairs, "minhash-pairs")
-        tried = pairs.select(*unordered) if tried is None else tried.union(pairs.select(*unordered))
-        links = saved(_confirmed(pairs, texts, shingle, percent), "minhash-links")
+    for wave in range(len(WAVES)):
+        links = saved(_links(_labelled(buckets, labels, wave), sets, percent), "minhash-links")
         labels = saved(joined_labels(labels, links), "minhash-labels")
-        if last:
-            break
-        rows = saved(_labelled(buckets, labels), "minhash-rows")
-        turn += 1
-        last = links.count() * FEW_LINKS <= pairs.count()
+        free_shuffles(docs.sparkSession)
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("print", "doc_id", F.coalesce("label", "class").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
     groups = saved(named.join(lowest, "label").select("print", F.col("label").alias("group"), "component"), "minhash-groups")

@@ -8,7 +8,8 @@ import pytest
 
 from llm.invented import prose
 from shelfcast.llm.components import components
-from shelfcast.llm.minhash import _permuted, near_duplicates, one_of_each, shingle_sets
+from shelfcast.llm import minhash
+from shelfcast.llm.minhash import _permuted, _shared_counts, near_duplicates, one_of_each, shingle_sets
 
 
 def sets_of(texts, k):
@@ -76,6 +77,28 @@ def test_groups(spark):
     assert [got[i]["kept"] for i in ids] == [i == c for i, c in zip(ids, low)]
 
 
+@pytest.mark.parametrize("block", [3, 16])
+def test_large_buckets(spark, monkeypatch, block):
+    """Many texts a little below the likeness share buckets with a tight group, over several blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    base = prose(900, 160)
+    texts = [changed(base, 4 + k % 3, k) for k in range(70)] + [changed(base, k % 2, 1000 + k) for k in range(40)] + [prose(k, 50) for k in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    low, _ = grouped(range(len(texts)), texts, 4)
+    assert len(set(low)) > 40 and low.count(0) < 70
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, shingle=4).collect()} == dict(enumerate(low))
+
+
+def test_shared_counts():
+    draw = np.random.default_rng(1)
+    sets = [np.unique(draw.integers(0, 3000, n, dtype=np.uint64)) for n in draw.integers(1, 900, 60)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    every = np.arange(60)
+    assert (_shared_counts(sets, every, every) == want).all()
+    assert (_shared_counts(sets, every[:50], every[40:]) == want[:50, 40:]).all()
+    assert (_shared_counts(sets, every[:4], every[9:12]) == want[:4, 9:12]).all()
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = odd_docs.select("doc_id", "text").collect()
     low, _ = grouped([r["doc_id"] for r in rows], [r["text"] for r in rows], 5)

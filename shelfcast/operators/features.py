@@ -67,15 +67,22 @@ def moving_average_features(df: DataFrame, spec: PanelSpec = PanelSpec()) -> Dat
     return df.select("*", *lag_averages(spec))
 
 
-def drop_warmup_periods(df: DataFrame, spec: PanelSpec = PanelSpec(), periods: int | None = None) -> DataFrame:
-    """Without the first periods, for which lags do not exist."""
-    months = F.sort_array(F.collect_set(spec.period))
-    last_dropped = df.agg(F.try_element_at(months, F.lit(periods or spec.lags)).alias("period")).scalar()
-    return df.where(F.col(spec.period) > last_dropped)
+def drop_warmup_periods(
+    df: DataFrame, spec: PanelSpec = PanelSpec(), periods: int | None = None, known: Column | None = None
+) -> DataFrame:
+    """Without the first periods, for which lags do not exist.
+
+    ``known`` is the sorted array of the frame's months, such as ``period_list`` of its facts; without it they are looked up in the
+    frame, which is read twice then.
+    """
+    if known is None:
+        known = df.agg(F.sort_array(F.collect_set(spec.period)).alias("periods")).scalar()
+    return df.where(F.col(spec.period) > F.try_element_at(known, F.lit(periods or spec.lags)))
 
 
-def ts_features(base: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    return drop_warmup_periods(moving_average_features(lag_features(base, spec), spec), spec).select(*spec.panel_columns)
+def ts_features(base: DataFrame, spec: PanelSpec = PanelSpec(), known: Column | None = None) -> DataFrame:
+    lagged = moving_average_features(lag_features(base, spec), spec)
+    return drop_warmup_periods(lagged, spec, known=known).select(*spec.panel_columns)
 
 
 def last_period_rows(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:

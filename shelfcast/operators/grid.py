@@ -18,6 +18,7 @@ from shelfcast.session import grid_tasks
 from shelfcast.spec import PanelSpec
 
 SHOPS_PER_CHUNK = 1024
+MOST_SHOPS = 100_000  # ids in one array, less than a megabyte
 
 
 def period_list(facts: DataFrame, spec: PanelSpec = PanelSpec()) -> Column:
@@ -47,18 +48,31 @@ def shop_chunks(shops: DataFrame, spec: PanelSpec = PanelSpec()) -> tuple[DataFr
     return numbered.groupBy("chunk").agg(F.collect_list(spec.shop).alias("shops")), chunks
 
 
-def entity_grid(shops: DataFrame, others: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """Each row of ``others`` once for each shop; ``others`` is spread over the cluster first."""
+def entity_grid(shops: DataFrame, others: DataFrame, spec: PanelSpec = PanelSpec(), other: str | None = None) -> DataFrame:
+    """Each row of ``others`` once for each shop; ``others`` is dealt out by its id ``other`` first, and its shops follow there.
+
+    Up to MOST_SHOPS shops are one array that every row is exploded with, after their number was looked up. More come in
+    numbered lists, by a join on the number.
+    """
+    spread = others.repartition(grid_tasks(others.sparkSession, spec), other or spec.item)
+    if shops.select(spec.shop).distinct().count() <= MOST_SHOPS:
+        every = shops.agg(F.collect_set(spec.shop).alias("shops")).scalar()
+        return spread.select(F.explode(every).alias(spec.shop), *others.columns)
     lists, chunks = shop_chunks(shops, spec)
-    tasks = grid_tasks(others.sparkSession, spec)
-    spread = others.repartition(tasks).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    return spread.join(lists, "chunk").select(F.explode("shops").alias(spec.shop), *others.columns)
+    numbered = spread.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    return numbered.join(lists, "chunk").select(F.explode("shops").alias(spec.shop), *others.columns)
 
 
 def pack_history(
     facts: DataFrame, keys: Sequence[str], values: Mapping[str, Column], spec: PanelSpec, extra: Sequence[Column] = ()
 ) -> DataFrame:
-    """One row per entity: a map from month to ``values``, at most one entry per month."""
+    """One row per entity: a map from month to ``values``, at most one entry per month.
+
+    Facts with shops are dealt out by the other key alone, as ``entity_grid`` deals its rows. An item has one fact for a shop and
+    month at most, so no item is much larger than another.
+    """
+    if spec.shop in keys and len(keys) == 2:
+        facts = facts.repartition(grid_tasks(facts.sparkSession, spec), *[k for k in keys if k != spec.shop])
     entry = F.struct(F.col(spec.period), F.struct(*[v.alias(n) for n, v in values.items()]))
     return (
         keyed(facts, [spec.period, *keys])
@@ -82,7 +96,7 @@ def lay_out_periods(entities: DataFrame, spec: PanelSpec, first: int = 0) -> Dat
 def dense_grid(shops: DataFrame, items: DataFrame, facts: DataFrame, spec: PanelSpec = PanelSpec(), other: str | None = None) -> DataFrame:
     """All shop x item (or, with ``other``, shop x category) x month combinations."""
     other = other or spec.item
-    entities = entity_grid(shops, items.select(other).distinct(), spec)
+    entities = entity_grid(shops, items.select(other).distinct(), spec, other)
     dated = entities.withColumn("periods", period_list_of(facts, spec))
     return lay_out_periods(dated, spec).select(spec.shop, other, spec.period)
 
@@ -105,7 +119,7 @@ def densify_zero_sales(
     keys = [spec.shop, other]
     values = [c for c in monthly.columns if c not in (*keys, spec.period)]
     history = pack_history(monthly, keys, {c: F.col(c) for c in values}, spec)
-    entities = entity_grid(shops, items.select(other).distinct(), spec).join(history, keys, "left")
+    entities = entity_grid(shops, items.select(other).distinct(), spec, other).join(history, keys, "left")
     dated = entities.withColumn("periods", period_list_of(monthly, spec))
     filled = {c: (lambda cell, c=c: F.coalesce(cell[c], F.lit(0.0)) if c == spec.amount else cell[c]) for c in values}
     arrays = dated.select(*keys, "periods", *[dense("history", value).alias(c) for c, value in filled.items()])

@@ -17,6 +17,7 @@ from shelfcast.operators.grid import dense, entity_grid, lay_out_periods, pack_h
 from shelfcast.operators.monthly import item_categories, keyed, monthly_facts, rolled_mean_prices, rolled_price
 from shelfcast.operators.prices import FALLBACKS, price_level
 from shelfcast.operators.splits import clean_by_strategy
+from shelfcast.session import co_located, grid_tasks
 from shelfcast.sources.stages import StageStore
 from shelfcast.spec import PanelSpec
 
@@ -42,8 +43,9 @@ def panel_entities(
     if price_facts is None:
         history = pack_history(facts, spec.entity, month, spec, [rolled_price(spec).alias("price_shop_item")])
     else:
+        dealt = priced.repartition(grid_tasks(facts.sparkSession, spec), spec.item)
         history = pack_history(facts, spec.entity, month, spec).join(
-            rolled_mean_prices(priced, spec.entity, "price_shop_item", spec), spec.entity, "full"
+            rolled_mean_prices(dealt, spec.entity, "price_shop_item", spec), spec.entity, "full"
         )
     category_keys = [spec.shop, spec.category]
     category_months = (
@@ -137,8 +139,8 @@ CELLS_PER_TASK = 50_000_000
 class PanelBuilder:
     """Builds the stages of one set of raw tables: facts, base panel, feature panel.
 
-    The raw transactions are read twice, once for the outlier limits and once for
-    the monthly facts; the facts are written to shared storage, and all that
+    Panels are written with shops, items and their months on one layout by item. The raw transactions are read twice,
+    once for the outlier limits and once for the monthly facts; the facts are written to shared storage, and all that
     follows reads those. ``source`` names the raw data in the stage paths.
     """
 
@@ -187,26 +189,22 @@ class PanelBuilder:
         cells = prod(df.agg(F.count_distinct(F.col(c)).alias("n")).first()["n"] for df, c in lists)
         return replace(self.spec, partitions=max(facts.sparkSession.sparkContext.defaultParallelism, ceil(cells / CELLS_PER_TASK)))
 
-    def _panel(self, plan: Callable[..., DataFrame], facts: DataFrame) -> DataFrame:
-        return plan(facts, self.tables["item_list"], self.tables["shop_list"], self.sized_spec(facts))
+    def _panel(self, name: str, settings: dict, plan: Callable[..., DataFrame], facts: Callable[[], DataFrame], refresh: bool) -> DataFrame:
+        def build() -> DataFrame:
+            made = facts()
+            return plan(made, self.tables["item_list"], self.tables["shop_list"], self.sized_spec(made))
+
+        with co_located(self.store.spark):
+            return self.store.table(name, settings, build, [self.spec.period], refresh)
 
     def base(self, refresh: bool = False) -> DataFrame:
-        return self.store.table(
-            "base",
-            self.base_settings,
-            lambda: self._panel(monthly_panel, self.facts(refresh)),
-            [self.spec.period],
-            refresh,
-        ).select(*self.spec.base_columns)
+        panel = self._panel("base", self.base_settings, monthly_panel, lambda: self.facts(refresh), refresh)
+        return panel.select(*self.spec.base_columns)
 
     def features(self, refresh: bool = False, refresh_facts: bool = False) -> DataFrame:
-        return self.store.table(
-            "features",
-            self.base_settings | self.settings("lags"),
-            lambda: self._panel(feature_panel, self.facts(refresh_facts)),
-            [self.spec.period],
-            refresh or refresh_facts,
-        ).select(*self.spec.panel_columns)
+        settings = self.base_settings | self.settings("lags")
+        panel = self._panel("features", settings, feature_panel, lambda: self.facts(refresh_facts), refresh or refresh_facts)
+        return panel.select(*self.spec.panel_columns)
 
     def split_features(self, strategy: str = "random", keys: list[str] | None = None, refresh: bool = False) -> dict[str, DataFrame]:
         """Feature panels of the train and validation sales, with outliers left in the latter.
@@ -222,11 +220,6 @@ class PanelBuilder:
             facts = self.store.table(
                 f"{name}_facts", settings, lambda sales=sales: monthly_facts(sales, items, self.spec), refresh=refresh
             )
-            panels[name] = self.store.table(
-                f"{name}_features",
-                settings,
-                lambda facts=facts: self._panel(feature_panel, facts),
-                [self.spec.period],
-                refresh,
-            ).select(*self.spec.panel_columns)
+            panel = self._panel(f"{name}_features", settings, feature_panel, lambda facts=facts: facts, refresh)
+            panels[name] = panel.select(*self.spec.panel_columns)
         return panels

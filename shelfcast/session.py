@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,18 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
 
 
+@contextmanager
+def co_located(spark: SparkSession) -> Iterator[None]:
+    """While this lasts, joins by several keys use a layout by one of them that both sides have, and shuffle neither again."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written_down(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small result by a table in the shared folder.
 

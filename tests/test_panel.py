@@ -17,11 +17,13 @@ from shelfcast.operators.features import (
     next_period_features,
     ts_features,
 )
-from shelfcast.operators.grid import dense_grid, densify_zero_sales
+from shelfcast.operators import grid
+from shelfcast.operators.grid import dense_grid, densify_zero_sales, period_list
 from shelfcast.operators.monthly import mean_prices, monthly_category_sales, monthly_facts, monthly_item_sales
 from shelfcast.operators.prices import attach_category_amount, backfill_category, price_cascade
 from shelfcast.operators.profile import missing_report
 from shelfcast.plans.panel import PanelBuilder, feature_panel, monthly_panel
+from shelfcast.session import co_located
 from shelfcast.sources.stages import StageStore
 
 SPEC = PanelSpec()
@@ -89,12 +91,14 @@ def test_steps_give_the_same_panel(chain, facts):
 
 def test_grid_has_each_combination_once(chain, facts):
     _daily, items, shops = chain
-    grid = dense_grid(shops, items, facts, SPEC)
+    every = dense_grid(shops, items, facts, SPEC)
     periods = facts.select("monthly_period").distinct().count()
-    assert grid.count() == grid.distinct().count() == len(small.SHOPS) * len(small.ITEMS) * periods
+    assert every.count() == every.distinct().count() == len(small.SHOPS) * len(small.ITEMS) * periods
 
 
-def test_many_shops_come_in_several_chunks(spark, facts):
+@pytest.mark.parametrize("most", [100_000, 2000])
+def test_many_shops_come_in_several_chunks(spark, facts, monkeypatch, most):
+    monkeypatch.setattr(grid, "MOST_SHOPS", most)
     shops = spark.range(3000).select(F.col("id").cast("int").alias("shop_id"))
     items = spark.createDataFrame([(11, 1), (12, 1)], "item_id int, item_category_id int")
     pairs = dense_grid(shops, items, facts, SPEC).select("shop_id", "item_id").distinct()
@@ -193,3 +197,40 @@ def test_no_cross_join_and_no_shuffle_of_the_grid(chain, facts):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Window" not in plan
     above = plan[: plan.index("Generate posexplode")]
     assert "Exchange" not in above and "Sort" not in above
+
+
+def nodes(plan: str) -> list[str]:
+    return [line.strip(" :+-*()0123456789") for line in plan.splitlines()]
+
+
+def test_shops_meet_their_months_without_a_shuffle(spark, chain, facts):
+    """Without broadcasts, what is above the explosion of shops is shuffled for category totals only."""
+    _daily, items, shops = chain
+    spec = replace(SPEC, partitions=7)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        with co_located(spark):
+            dense = densify_zero_sales(facts.select("monthly_period", "shop_id", "item_id", "amount"), shops, items, spec)
+            plans = [df._jdf.queryExecution().executedPlan().toString() for df in (dense, feature_panel(facts, items, shops, spec))]
+            small.assert_same(small.by_key(feature_panel(facts, items, shops, spec)), small.features())
+    finally:
+        spark.conf.set(name, before)
+    for plan, shuffles in zip(plans, (0, 2)):
+        above = plan[: plan.index("Generate explode(")]
+        assert above.count("Exchange hashpartitioning(shop_id") <= shuffles
+        assert "chunk" not in plan and "CartesianProduct" not in plan
+        by_pair = [n for n in nodes(plan) if n.startswith("Exchange hashpartitioning(shop_id") and "item_id" in n]
+        assert not by_pair
+        assert sum("Exchange hashpartitioning(item_id" in n and ", 7)" in n for n in nodes(plan)) >= 2
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_known_months_spare_a_second_reading(chain, facts):
+    _daily, items, shops = chain
+    base = monthly_panel(facts, items, shops, SPEC)
+    got = ts_features(base, SPEC, known=period_list(facts, SPEC))
+    small.assert_same(small.by_key(got), small.features())
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("posexplode")
+    assert count(got) == 1 and count(ts_features(base, SPEC)) >= 1

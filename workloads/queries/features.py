@@ -18,6 +18,7 @@ from shelfcast.operators.features import (
     shift_lag_columns,
     ts_features,
 )
+from shelfcast.operators.grid import period_list
 from shelfcast.operators.splits import random_periods
 from shelfcast.plans.panel import feature_panel
 from workloads.digest import digest, digest_sql
@@ -87,7 +88,8 @@ def _(spark, sf_dir):
 
 @query("ts_features", digest_sql("features", PERIOD_SHOP, SPEC.panel_columns, PANEL_DOUBLES))
 def _(spark, sf_dir):
-    return digest(ts_features(builder(spark, sf_dir).base(), SPEC), PERIOD_SHOP, SPEC.panel_columns)
+    b = builder(spark, sf_dir)
+    return digest(ts_features(b.base(), SPEC, known=period_list(b.facts(), SPEC)), PERIOD_SHOP, SPEC.panel_columns)
 
 
 @query("feature_panel", digest_sql("features", PERIOD_SHOP, SPEC.panel_columns, PANEL_DOUBLES))

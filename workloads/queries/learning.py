@@ -405,12 +405,12 @@ def _(spark, sf_dir):
     return naive(spark, sf_dir).agg(F.round(rmse(), 6).alias("rmse"))
 
 
-@query("r2", f"SELECT round(1 - {ERROR} / var_pop(label), 6) AS r2 FROM naive")
+@query("r2", f"SELECT round(1 - {ERROR} / nullif(var_pop(label), 0), 6) AS r2 FROM naive")
 def _(spark, sf_dir):
     return naive(spark, sf_dir).agg(F.round(r2(), 6).alias("r2"))
 
 
-@query("per_group_score", f"SELECT shop_id, count(*) AS rows, round(sqrt({ERROR}), 6) AS rmse, round(1 - {ERROR} / var_pop(label), 6) AS r2 FROM naive GROUP BY shop_id")
+@query("per_group_score", f"SELECT shop_id, count(*) AS rows, round(sqrt({ERROR}), 6) AS rmse, round(1 - {ERROR} / nullif(var_pop(label), 0), 6) AS r2 FROM naive GROUP BY shop_id")
 def _(spark, sf_dir):
     scores = score(naive(spark, sf_dir), ["shop_id"])
     return scores.withColumns({c: F.round(c, 6) for c in ("rmse", "r2")})

@@ -151,7 +151,7 @@ def _labelled(buckets: DataFrame, labels: DataFrame, wave: int) -> DataFrame:
 
 
 def _shared_counts(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """How many shingles each set of ``first`` shares with each of ``second``."""
+    """How many shingles each set of ``first`` shares with each other one of ``second``."""
     if len(first) * len(second) <= 40:
         out = np.zeros((len(first), len(second)), np.int64)
         for i, x in enumerate(first):

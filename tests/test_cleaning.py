@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shelfcast.functions import quantiles
 from shelfcast.functions.quantiles import exact_quantiles
 from shelfcast.functions.scalars import cyclic, hash_value, next_month, parse_date, rounded_count, weekday_name
 from shelfcast.operators.cleaning import (
@@ -110,6 +111,21 @@ def test_quantiles_match_numpy(spark, values):
         assert value == pytest.approx(np.quantile(known, level), rel=1e-9, abs=1e-6)
 
 
+@pytest.mark.parametrize("poor", [False, True])
+def test_long_ranges_are_cut_further(spark, monkeypatch, poor):
+    """No task orders more than MOST_VALUES values; estimates that miss the rank cost a reading, not the result."""
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 5)
+    draw = np.random.default_rng(4)
+    data = np.concatenate([draw.normal(0, 1, 3000), np.exp2(-draw.integers(1, 900, 500).astype(float)), np.full(1500, 0.25), draw.integers(0, 9, 500) * 1e300])
+    if poor:
+        monkeypatch.setattr(quantiles, "_cuts", lambda df, columns, near: {c: F.array(*[F.lit(5.0 + i) for i in range(len(near))]) for c in columns})
+    df = spark.createDataFrame([(float(x), 1.0) for x in data], "x double, y double").repartition(6)
+    levels = [0.0, 0.1, 0.4567, 0.5, 0.98, 1.0]
+    got = {(r["column"], r["level"]): r["quantile"] for r in exact_quantiles(df, ["x", "y"], levels).collect()}
+    for q in levels:
+        assert got["x", q] == pytest.approx(np.quantile(data, q), rel=1e-9, abs=1e-300) and got["y", q] == 1.0
+
+
 def test_quantiles_with_a_third_in_one_value(spark):
     random.seed(5)
     x = [3.0] * 20000 + [random.lognormvariate(1, 2) for _ in range(40000)]

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from shelfcast import PanelSpec
 from shelfcast.functions.scalars import hash_value
 from shelfcast.operators.encoding import ENCODED, SCALED, LabelMeanEncoder, RangeScaler, feature_names
+from shelfcast.operators import models
 from shelfcast.operators.models import (
     auto_search,
     best_round,
     feature_importance,
     fit_elastic_net,
-    first_rounds,
+    fit_gbt,
     fit_gbt_early_stopping,
     random_search,
     search_history,
@@ -154,7 +155,7 @@ def test_early_stopping_beats_the_mean(features):
     fitted, matrix, val_matrix = fit_transform_split(train, val, tree_stages(SPEC), SPEC)
     model, losses = fit_gbt_early_stopping(matrix, val_matrix, maxIter=12, maxDepth=3)
     assert model.getNumTrees == best_round(losses)
-    two = first_rounds(model, 2)
+    two = fit_gbt(matrix, maxIter=2, maxDepth=3)  # the first trees are the same, however many follow
     assert two.getNumTrees == 2 and score(two.transform(val_matrix)).first()["rmse"] ** 2 == pytest.approx(losses[1], rel=1e-6)
     assert two.featureImportances.size == model.featureImportances.size
     reached = score(model.transform(val_matrix)).first()
@@ -210,3 +211,15 @@ def test_tree_search_keeps_its_history(spark, matrix):
     history = search_history(search, spark).orderBy("trial").collect()
     assert [r["trial"] for r in history] == [1, 2] and "maxDepth" in history[0]["settings"]
     assert history[-1]["best_score"] == min(r["score"] for r in history)
+
+
+def test_tree_search_halves(matrix, monkeypatch):
+    """All trials start, the better half gets twice the rounds, the last one stops early and is fitted on all rows."""
+    fitted = []
+    plain = models.fit_gbt
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 2)
+    monkeypatch.setattr(models, "fit_gbt", lambda rows, seed=42, **s: fitted.append(s["maxIter"]) or plain(rows, seed, **s))
+    search = auto_search(matrix, ["id"], trials=5, maxIter=4, maxDepth=2)
+    assert fitted[:7] == [1] * 5 + [2] * 2 and len(search.scores) == len(search.drawn) == 5 and sorted(search.rounds)[:3] == [1, 1, 1]
+    best = min(range(5), key=lambda i: (search.scores[i], i))
+    assert all(s > 0 for s in search.scores) and search.bestModel.getNumTrees <= 4 and search.rounds[best] >= 1

@@ -2,8 +2,9 @@
 
 Five small transducers read the token classes of a clause: negation, reported speech and target each pass a symbol on with
 their mark, insult and threat turn marked symbols into patterns. They are composed into one automaton. A pattern's weight
-times its word's weight is summed over the clauses, so that a negated or reported insult counts by its own weight, and the
-sum gives the score through a logistic function.
+times its word's weight is summed over the clauses, up to MOST for each pattern, so that a negated or reported insult counts by
+its own weight, and the sum gives the score through a logistic function. Quotes hold over the clauses of a paragraph, and a
+colon after a verb of saying ends no clause.
 
 Word weights start from a short public list; labelled rows add words and stems (written ``stem*``) and correct weights. Pattern weights are fitted to the
 same rows around the starting values, so a pattern which no labelled row shows keeps its own. At most ``fit_rows`` labelled
@@ -45,7 +46,8 @@ TARGETS = "you your yours u he she they them him her these those toi vous tu dic
 NEGATIONS = "not no never isn't aren't wasn't don't doesn't didn't nobody nicht kein keine niemals pas jamais nunca jamás"
 REPORTS = "said says called calls wrote writes claimed claims quoted quotes told reported alleged dit dijo sagte schrieb escribió"
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"«»“”]")
-CLAUSES = re.compile(r"[.!?;:\n]+")
+CLAUSES = re.compile(r"([.!?;:\n]+)")
+MOST = 6.0  # that a pattern counts in a text
 STEMS = (6, 5, 4)  # letters
 
 
@@ -87,25 +89,30 @@ def _target(reach: int = 4) -> Transducer:
     return Transducer(reach + 1, step)
 
 
-def _patterns(reach: int = 3) -> Transducer:
-    """Insults and threats; one that waits for a target gives the difference when the target follows."""
+def _words_of(kind: int, base: int, reach: int = 3) -> Transducer:
+    """Turns one kind of word into patterns; one that waits for a target gives the difference when the target follows.
+
+    What other transducers have made of a symbol passes through, and any such word ends the waiting.
+    """
 
     def step(state, symbol):
-        kind, marks = symbol
-        if kind in (INSULT, THREAT):
+        if symbol[0] in ("emit", "turn"):
+            return 0, symbol
+        at, marks = symbol
+        if at == kind:
             way = NEGATED if NEGATED in marks else REPORTED if REPORTED in marks else TARGETED if TARGETED in marks else PLAIN
-            base = 0 if kind == INSULT else 4
-            return (kind * 8 + reach if way == PLAIN else 0), ("emit", base + way)
-        left = state % 8
-        if kind == TARGET and left:
-            return 0, ("turn", 0 if state // 8 == INSULT else 4)
-        return (state - 1 if left > 1 else 0), None
+            return (reach if way == PLAIN else 0), ("emit", base + way)
+        if at in (INSULT, THREAT):
+            return 0, symbol
+        if at == TARGET and state:
+            return 0, ("turn", base)
+        return max(0, state - 1), symbol
 
-    return Transducer(THREAT * 8 + reach + 1, step)
+    return Transducer(reach + 1, step)
 
 
-def compose(parts: list[Transducer]) -> tuple[np.ndarray, np.ndarray]:
-    """One automaton: next state and output by (state, class). Output: pattern, -1 none, 8 + base for a plain one turned targeted."""
+def compose(parts: list[Transducer]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, ...]]]:
+    """One automaton: next state and output by (state, class), and the parts' states. Output: pattern, -1 none, 8 + base for a plain one turned targeted."""
     start = tuple(0 for _ in parts)
     index, todo, rows = {start: 0}, [start], []
     while todo:
@@ -120,14 +127,17 @@ def compose(parts: list[Transducer]) -> tuple[np.ndarray, np.ndarray]:
             if after not in index:
                 index[after] = len(index)
                 todo.append(after)
-            out = -1 if symbol is None else symbol[1] if symbol[0] == "emit" else 8 + symbol[1]
+            out = symbol[1] if symbol[0] == "emit" else 8 + symbol[1] if symbol[0] == "turn" else -1
             row.append((index[after], out))
         rows.append(row)
     table = np.array(rows)
-    return table[:, :, 0], table[:, :, 1]
+    return table[:, :, 0], table[:, :, 1], list(index)
 
 
-NEXT, OUTPUT = (t.tolist() for t in compose([_negation(), _reported(), _target(), _patterns()]))
+_next, _output, _states = compose([_negation(), _reported(), _target(), _words_of(INSULT, 0), _words_of(THREAT, 4)])
+NEXT, OUTPUT = _next.tolist(), _output.tolist()
+SAID, QUOTED = ([bool(state[1] & bit) for state in _states] for bit in (1, 2))
+IN_QUOTE = NEXT[0][QUOTE]
 
 
 @dataclass
@@ -174,16 +184,13 @@ def starting_words() -> dict[str, tuple[int, float]]:
 
 def pattern_sums(text: str, words: dict[str, tuple[int, float]], triggers: Triggers) -> np.ndarray | None:
     """Summed word weights by pattern over all clauses; None if no clause matches."""
-    lowered = text.lower()
+    lowered = text.lower().replace("’", "'")
     if triggers.isdisjoint(WORDS.findall(lowered)):  # no token reaches over the end of a clause
         return None
-    sums = np.zeros(PATTERNS)
-    for clause in CLAUSES.split(lowered):
-        tokens = WORDS.findall(clause)
-        if triggers.isdisjoint(tokens):
-            continue
-        state, waiting = 0, 0.0
-        for token in tokens:
+    sums, state, waiting = np.zeros(PATTERNS), 0, 0.0
+    parts = CLAUSES.split(lowered)
+    for clause, end in zip(parts[::2], [*parts[1::2], ""]):
+        for token in WORDS.findall(clause):
             kind, weight = looked_up(words, token) if len(token) > 1 or token.isalpha() else (QUOTE, 0.0)
             out = OUTPUT[state][kind]
             state = NEXT[state][kind]
@@ -193,11 +200,13 @@ def pattern_sums(text: str, words: dict[str, tuple[int, float]], triggers: Trigg
             elif out >= 8:
                 sums[out - 8] -= waiting
                 sums[out - 8 + TARGETED] += waiting
+        if not (end == ":" and SAID[state]):
+            state, waiting = IN_QUOTE if QUOTED[state] and "\n" not in end else 0, 0.0
     return sums
 
 
 def _features(sums: np.ndarray) -> np.ndarray:
-    return np.minimum(sums, 6.0)
+    return np.minimum(sums, MOST)
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -25,6 +25,17 @@ def test_patterns():
     assert (START[[NEGATED, REPORTED]] < START[PLAIN]).all()
 
 
+def test_apostrophes_colons_and_quotes_over_clauses():
+    for said in ("you aren't an idiot", "you aren’t an idiot", "he isn’t stupid"):
+        assert sums(said)[NEGATED] == 1, said
+    assert sums("She said: you are an idiot")[REPORTED] == 1
+    assert sums("Listen: you are an idiot")[TARGETED] == 1
+    assert sums("“I hate it. You idiot,” she wrote")[REPORTED] == 1
+    assert sums('"So. It goes." You idiot')[TARGETED] == 1
+    assert sums('an inch is 1". So\nyou idiot')[TARGETED] == 1  # a quote ends with its paragraph at the latest
+    assert sums("scum, kill you")[[PLAIN, TARGETED, 4 + PLAIN, 4 + TARGETED]].tolist() == [1, 0, 0, 1]  # only the last word waits
+
+
 def test_words_beside_other_signs():
     assert sums("You are an “idiot”.")[REPORTED] == 1
     assert sums("«scum»")[REPORTED] == 1

@@ -6,7 +6,7 @@ fitted stages are saved within a ``PipelineModel``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
@@ -23,11 +23,11 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.scalars import cyclic, hash_value
-from shelfcast.session import written_down
+from shelfcast.session import written_by_value
 from shelfcast.spec import PanelSpec
 
 # The prefixes of encoded column names.
@@ -127,39 +127,57 @@ class LabelMeanEncoder(Estimator, HasInputCols, HasLabelCol, DefaultParamsReadab
 
     def _fit(self, df: DataFrame) -> LabelMeanEncoderModel:
         model = LabelMeanEncoderModel(inputCols=self.getInputCols(), labelMean=self.label_mean(df).first()["mean"])
-        model.table = written_down(self.encodings(df))
+        model.codes = written_by_value(self.encodings(df), "feature", self.getInputCols())
         return model
 
-    def crossfit(self, df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
-        """Encode training rows from the rows of the other folds, so that no row sees its own label.
+    def fold_codes(self, df: DataFrame) -> DataFrame:
+        """``(feature, value, codes)``: for each fold that the value occurs in, the encoding from the rows of all other folds.
 
-        The other folds' sums are the totals less the fold's own: one pass, not one per fold. The
-        resulting codes, one per category and fold, are written down before they are joined by column.
+        The other folds' sums are the totals less the fold's own: one pass, not one per fold. A value has at most one entry for a fold.
         """
-        label = F.col(self.getLabelCol())
-        sums = ["n", "total", "squares"]
-        df = df.withColumn("fold", F.pmod(hash_value(list(keys), seed), F.lit(folds)).cast("int"))
-
+        label, sums = F.col(self.getLabelCol()), ["n", "total", "squares"]
         whole = df.agg(F.struct(*_moments(label)).alias("whole")).scalar()
         rest = df.groupBy("fold").agg(*_moments(label)).select("fold", *[(whole[s] - F.col(s)).alias(s) for s in sums])
         mean = F.col("total") / F.col("n")
         variance = F.greatest(F.col("squares") / F.col("n") - mean * mean, F.lit(0.0))
-        rest = rest.select("fold", mean.alias("rest_mean"), variance.alias("rest_var"))
+        entry = F.struct("fold", F.struct(mean.alias("mean"), variance.alias("variance")))
+        by_fold = rest.agg(F.map_from_entries(F.collect_list(entry)).alias("rest")).scalar()
 
-        own = _by_category(df, self.getInputCols(), label, F.col("fold")).groupBy("feature", "value", "fold")
-        all_folds = Window.partitionBy("feature", "value")
-        others = own.agg(*_moments(F.col("label"))).select(
-            "feature", "value", "fold", *[(F.sum(s).over(all_folds) - F.col(s)).alias(s) for s in sums]
+        own = _by_category(df, self.getInputCols(), label, F.col("fold")).groupBy("feature", "value", "fold").agg(*_moments(F.col("label")))
+        values = own.groupBy("feature", "value").agg(
+            F.collect_list(F.struct("fold", *sums)).alias("parts"), *[F.sum(s).alias(s) for s in sums]
         )
-        code = _shrunk_mean(F.col("n"), F.col("total"), F.col("squares"), F.col("rest_mean"), F.col("rest_var"))
-        coded = others.join(rest, "fold").select(
-            "feature", "value", "fold", F.when(F.col("n") > 0, code).otherwise(F.col("rest_mean")).alias("encoding")
-        )
-        coded = written_down(coded)
-        for c in self.getInputCols():
-            one = coded.where(F.col("feature") == c).select(F.col("value").alias(c), "fold", F.col("encoding").alias(ENCODED + c))
-            df = df.join(one, [c, "fold"], "left")
-        return df.drop("fold")
+
+        def code(part: Column) -> Column:
+            n, total, squares = [F.col(s) - part[s] for s in sums]
+            others = F.try_element_at("rest", part["fold"])
+            shrunk = _shrunk_mean(n, total, squares, others["mean"], others["variance"])
+            return F.struct(part["fold"], F.when(n > 0, shrunk).otherwise(others["mean"]))
+
+        coded = F.map_from_entries(F.transform("parts", code)).alias("codes")
+        return values.withColumn("rest", by_fold).select("feature", "value", coded)
+
+    def crossfit(self, df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
+        """Encode training rows from the rows of the other folds, so that no row sees its own label.
+
+        The codes are written down by feature, one row per value with its codes of all folds, so that every look-up is by the
+        value alone and is planned by the size of that feature's codes.
+        """
+        df = df.withColumn("fold", F.pmod(hash_value(list(keys), seed), F.lit(folds)).cast("int"))
+        codes = written_by_value(self.fold_codes(df), "feature", self.getInputCols())
+        return _looked_up(df, codes, "codes", lambda found: F.try_element_at(found, F.col("fold"))).drop("fold")
+
+
+def _looked_up(df: DataFrame, codes: Mapping[str, DataFrame], source: str, code: Callable[[Column], Column]) -> DataFrame:
+    """Adds an encoded column for each feature, null for an unknown value.
+
+    Each join is planned by the size of that feature's codes: the few shops and categories are broadcast, and only a feature with
+    more codes than Spark broadcasts makes the rows move, once, to a layout by its values; rows that lie so already stay.
+    """
+    for c, table in codes.items():
+        found = table.select(F.col("value").try_cast(df.schema[c].dataType).alias(c), F.col(source).alias("found"))
+        df = df.join(found, c, "left").withColumn(ENCODED + c, code(F.col("found"))).drop("found")
+    return df
 
 
 def _by_category(df: DataFrame, columns: Sequence[str], label: Column, *others: Column) -> DataFrame:
@@ -171,7 +189,7 @@ class LabelMeanEncoderModel(Model, HasInputCols, MLWritable, MLReadable):
     """Looks up the learned encodings; an unseen category gets the mean label."""
 
     labelMean = Param(Params._dummy(), "labelMean", "mean label of the training rows", TypeConverters.toFloat)
-    table: DataFrame
+    codes: dict[str, DataFrame]
 
     @keyword_only
     def __init__(self, *, inputCols: Sequence[str] | None = None, labelMean: float | None = None) -> None:
@@ -179,14 +197,12 @@ class LabelMeanEncoderModel(Model, HasInputCols, MLWritable, MLReadable):
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        for c in self.getInputCols():
-            codes = self.table.where(F.col("feature") == c).select(F.col("value").alias(c), F.col("encoding").alias(ENCODED + c))
-            df = df.join(codes, c, "left").fillna({ENCODED + c: self.getOrDefault(self.labelMean)})
-        return df
+        coded = _looked_up(df, self.codes, "encoding", lambda found: found)
+        return coded.fillna({ENCODED + c: self.getOrDefault(self.labelMean) for c in self.getInputCols()})
 
     def copy(self, extra=None) -> LabelMeanEncoderModel:
         other = super().copy(extra)
-        other.table = self.table
+        other.codes = self.codes
         return other
 
     def write(self) -> MLWriter:
@@ -204,7 +220,8 @@ class _EncoderWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
-        self.model.table.write.parquet(f"{path}/encodings")
+        for feature, table in self.model.codes.items():
+            table.write.parquet(f"{path}/encodings/feature={feature}")
 
 
 class _EncoderReader(MLReader):
@@ -213,7 +230,7 @@ class _EncoderReader(MLReader):
         model = LabelMeanEncoderModel()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        model.table = self.sparkSession.read.parquet(f"{path}/encodings")
+        model.codes = {c: self.sparkSession.read.parquet(f"{path}/encodings/feature={c}") for c in model.getInputCols()}
         return model
 
 

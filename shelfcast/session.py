@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.sources.stages import path_exists
 from shelfcast.spec import PanelSpec
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -48,18 +49,34 @@ def co_located(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def _new_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/written/{uuid.uuid4().hex}"
+
+
 def written_down(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small result by a table in the shared folder.
+    """Cut the lineage of a result by a table in the shared folder.
 
     Unlike a checkpoint, the files tell Spark their size, by which it decides
     how to join them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/written/{uuid.uuid4().hex}"
+    path = _new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_by_value(df: DataFrame, column: str, values: Sequence[str]) -> dict[str, DataFrame]:
+    """As ``written_down``, in one table for each of the few ``values`` of a column, each with a size of its own."""
+    spark = df.sparkSession
+    path = _new_path(spark)
+    df.write.partitionBy(column).parquet(path)
+    rest = df.drop(column)
+    return {
+        v: spark.read.schema(rest.schema).parquet(f"{path}/{column}={v}") if path_exists(spark, f"{path}/{column}={v}") else rest.limit(0)
+        for v in values
+    }
+
+
 def grid_tasks(spark: SparkSession, spec: PanelSpec) -> int:
     """Number of tasks the entity grid is spread over before it grows by the periods: one per core, or as told.
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from itertools import takewhile
 
 import numpy as np
 import pytest
@@ -23,7 +24,7 @@ from shelfcast.operators.models import (
     search_history,
 )
 from shelfcast.operators.scoring import score
-from shelfcast.plans.forecast import forecast_next_period, round_forecast
+from shelfcast.plans.forecast import forecast_next_period, predict_next_period, round_forecast
 from shelfcast.plans.training import linear_fit, train_linear, train_on, train_trees
 from shelfcast.sources.stages import load_model, save_model
 
@@ -167,6 +168,47 @@ def test_early_stopping_beats_the_mean(features):
     assert sum(r["importance"] for r in importance) == pytest.approx(1.0)
 
 
+def exchanges(plan: str) -> list[str]:
+    return [line.split("hashpartitioning(")[1].split(",")[0].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_only_a_feature_with_many_codes_moves_the_rows(spark):
+    """Items have more codes than are broadcast: the rows move to them once, and not for shop or category."""
+    rows = spark.range(40_000).select(
+        F.col("id").cast("int").alias("id"),
+        (F.col("id") % 3).cast("int").alias("shop"),
+        (F.col("id") % 20_000).cast("int").alias("item"),
+        (F.col("id") % 7).cast("int").alias("cat"),
+        (F.col("id") % 11).cast("double").alias("label"),
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "20000", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        encoder = LabelMeanEncoder(inputCols=["shop", "item", "cat"])
+        model = encoder.fit(rows)
+        for coded in (encoder.crossfit(rows, ["id"]), model.transform(rows)):
+            plan = coded._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+            assert exchanges(plan) == ["item", "item"] and coded.count() == 40_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_codes_of_an_empty_table(spark):
+    rows = spark.createDataFrame([], "id int, cat int, label double")
+    assert LabelMeanEncoder(inputCols=["cat"]).crossfit(rows, ["id"]).count() == 0
+
+
+def test_parts_are_encoded_once(features):
+    """Scores read the encoded rows that the fit was made with."""
+    trained = train_linear(features, "last_months_val", SPEC, alpha=0.1)
+    plan = trained.scores()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Relation") == 2
+
+
 def test_linear_pipeline_is_saved_whole(spark, features, tmp_path):
     trained = train_linear(features, "last_months_val", SPEC, alpha=0.1)
     scores = {r["split"]: r for r in trained.scores().collect()}
@@ -195,6 +237,21 @@ def test_forecast_of_requested_pairs(spark, features, tmp_path):
     assert whole[2, 11] == round(got[2, 11]) and whole[2, 500] is None
 
 
+def test_only_requested_pairs_are_scored(spark, features):
+    """The request meets the rows of the last month, below the model."""
+    request = spark.createDataFrame([(0, 1), (0, 1), (2, 500)], "shop int, item int")
+    trained = train_linear(features, "last_months_val", SPEC, alpha=0.1)
+    assert predict_next_period(features, trained.pipeline, SPEC, pairs=request).count() == 1
+    raw = forecast_next_period(features, request, trained.pipeline, SPEC)
+    assert sorted((r["shop"], r["item"]) for r in raw.collect()) == [(0, 1), (0, 1), (2, 500)]
+    lines = raw._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    semi = next(i for i, line in enumerate(lines) if "Join LeftSemi" in line)
+    below = takewhile(lambda i: depth[i] > depth[semi], range(semi + 1, len(lines)))
+    assert not any("UDF(" in lines[i] or "found" in lines[i] for i in below)
+    assert any("found" in line for line in lines)
+
+
 def test_forecast_may_be_clipped(spark, features):
     class Below:
         def transform(self, df):

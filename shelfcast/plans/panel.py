@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, replace
 from math import ceil, prod
 
@@ -14,14 +14,24 @@ from shelfcast.operators.cleaning import clean_transactions
 from shelfcast.operators.enrich import handle_dates
 from shelfcast.operators.features import lag_averages
 from shelfcast.operators.grid import dense, entity_grid, lay_out_periods, pack_history, period_list
-from shelfcast.operators.monthly import item_categories, keyed, monthly_facts, rolled_mean_prices, rolled_price
-from shelfcast.operators.prices import FALLBACKS, price_level
+from shelfcast.operators.monthly import item_categories, monthly_facts, rolled_mean_prices, rolled_price
+from shelfcast.operators.prices import FALLBACKS, price_level, priced_items, with_category_totals
 from shelfcast.operators.splits import clean_by_strategy
 from shelfcast.session import co_located, grid_tasks
 from shelfcast.sources.stages import StageStore
 from shelfcast.spec import PanelSpec
 
 
+def _sold(facts: DataFrame, spec: PanelSpec, substitutes: bool = False) -> DataFrame:
+    """One row per shop x item with sales: its months, and with ``substitutes`` the mean price of all its sales."""
+    month = {
+        "price": mean_price(F.col("price_units"), F.col("price_count"), spec),
+        "amount": F.col(spec.amount),
+    }
+    extra = [rolled_price(spec).alias("price_shop_item")] if substitutes else []
+    return pack_history(facts, spec.entity, month, spec, extra)
+
+
 def panel_entities(
     facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec(), price_facts: DataFrame | None = None
 ) -> DataFrame:
@@ -30,54 +40,62 @@ def panel_entities(
     ``price_facts`` limits the substitute prices to other facts than the panel's,
     such as those before the validation months; by default they look at all months.
     """
-    priced = facts if price_facts is None else price_facts
-    catalogue = (
-        item_categories(items, spec)
-        .join(rolled_mean_prices(priced, [spec.item], "price_item", spec), spec.item, "left")
-        .join(rolled_mean_prices(priced, [spec.category], "price_category", spec), spec.category, "left")
-    )
-    month = {
-        "price": mean_price(F.col("price_units"), F.col("price_count"), spec),
-        "amount": F.col(spec.amount),
-    }
-    if price_facts is None:
-        history = pack_history(facts, spec.entity, month, spec, [rolled_price(spec).alias("price_shop_item")])
-    else:
-        dealt = priced.repartition(grid_tasks(facts.sparkSession, spec), spec.item)
-        history = pack_history(facts, spec.entity, month, spec).join(
-            rolled_mean_prices(dealt, spec.entity, "price_shop_item", spec), spec.entity, "full"
-        )
-    category_keys = [spec.shop, spec.category]
-    category_months = (
-        keyed(facts, [spec.period, *category_keys])
-        .groupBy(*category_keys, spec.period)
-        .agg(F.sum(spec.amount).alias(spec.amount))
-    )
-    periods = period_list(facts, spec)
-    category_totals = (
-        pack_history(category_months, category_keys, {"amount": F.col(spec.amount)}, spec)
-        .withColumn("periods", periods)
-        .select(*category_keys, dense("history", lambda cell: F.coalesce(cell["amount"], F.lit(0.0))).alias("totals"))
-    )
-    return (
-        entity_grid(shops, catalogue, spec)
-        .join(history, spec.entity, "left")
-        .join(category_totals, category_keys, "left")
-        .withColumns({"price_global": rolled_mean_prices(priced, [], "price_global", spec).scalar(), "periods": periods})
-    )
-
-
-def _rows(entities: DataFrame, spec: PanelSpec, first: int = 0) -> DataFrame:
+    return with_category_totals(priced_entities(facts, items, shops, spec, price_facts), facts, spec)
+
+
+def listed_entities(facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """One row per shop x item: the item's category and its months with sales."""
+    grid = entity_grid(shops, item_categories(items, spec), spec)
+    return grid.join(_sold(facts, spec), spec.entity, "left").withColumn("periods", period_list(facts, spec))
+
+
+def priced_entities(
+    facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec(), price_facts: DataFrame | None = None
+) -> DataFrame:
+    """``listed_entities`` with the four substitute prices: the item's, category's and global ones come with the item list."""
+    history = _sold(facts, spec, substitutes=price_facts is None)
+    if price_facts is not None:
+        dealt = price_facts.repartition(grid_tasks(facts.sparkSession, spec), spec.item)
+        history = history.join(rolled_mean_prices(dealt, spec.entity, "price_shop_item", spec), spec.entity, "full")
+    grid = entity_grid(shops, priced_items(items, facts if price_facts is None else price_facts, spec), spec)
+    return grid.join(history, spec.entity, "left").withColumn("periods", period_list(facts, spec))
+
+
+CELLS: dict[str, Callable[[Column], Column]] = {
+    "prices": lambda cell: F.coalesce(cell["price"], *FALLBACKS),
+    "amounts": lambda cell: F.coalesce(cell["amount"], F.lit(0.0)),
+    "levels": lambda cell: price_level(cell["price"]),
+    "own_prices": lambda cell: cell["price"],
+}
+
+
+def _rows(entities: DataFrame, spec: PanelSpec, first: int = 0, cells: Sequence[str] = ("prices", "amounts", "levels")) -> DataFrame:
     """Months as arrays with all gaps filled, then as rows."""
-    arrays = {
-        "prices": dense("history", lambda cell: F.coalesce(cell["price"], *FALLBACKS)),
-        "amounts": dense("history", lambda cell: F.coalesce(cell["amount"], F.lit(0.0))),
-        "levels": dense("history", lambda cell: price_level(cell["price"])),
-    }
-    filled = entities.select(
-        *spec.entity, spec.category, "periods", "totals", *[v.alias(c) for c, v in arrays.items()]
-    )
-    return lay_out_periods(filled, spec, first)
+    totals = ["totals"] if "totals" in entities.columns else []
+    arrays = [dense("history", CELLS[c]).alias(c) for c in cells]
+    return lay_out_periods(entities.select(*spec.entity, spec.category, "periods", *totals, *arrays), spec, first)
+
+
+def backfilled_sales(facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """Every shop x item x month with the item's category, the month's own price, which may be null, and amount."""
+    rows = _rows(listed_entities(facts, items, shops, spec), spec, cells=("own_prices", "amounts"))
+    values = [F.get("own_prices", F.col("slot")).alias(spec.price), F.get("amounts", F.col("slot")).alias(spec.amount)]
+    return rows.select(*spec.key, spec.category, *values)
+
+
+def priced_grid(facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """Every shop x item x month with the price that is closest to it, and which one it was (``price_level``)."""
+    rows = _rows(priced_entities(facts, items, shops, spec), spec, cells=("prices", "levels"))
+    values = [F.get("prices", F.col("slot")).alias(spec.price), F.get("levels", F.col("slot")).alias("price_level")]
+    return rows.select(*spec.key, spec.category, *values)
+
+
+def sales_with_totals(facts: DataFrame, items: DataFrame, shops: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """Every shop x item x month with its amount and that of its category in the shop; an absent total is 0."""
+    entities = with_category_totals(listed_entities(facts, items, shops, spec), facts, spec)
+    measures = _measures(spec)
+    amounts = [measures[c].alias(c) for c in (spec.amount_item, spec.amount_cat)]
+    return _rows(entities, spec, cells=("amounts",)).select(*spec.key, spec.category, *amounts)
 
 
 def _measures(spec: PanelSpec, step: int = 0) -> dict[str, Column]:

@@ -20,9 +20,9 @@ from shelfcast.operators.features import (
 from shelfcast.operators import grid
 from shelfcast.operators.grid import dense_grid, densify_zero_sales, period_list
 from shelfcast.operators.monthly import mean_prices, monthly_category_sales, monthly_facts, monthly_item_sales
-from shelfcast.operators.prices import attach_category_amount, backfill_category, price_cascade
+from shelfcast.operators.prices import attach_category_amount, backfill_category, price_cascade, priced_items
 from shelfcast.operators.profile import missing_report
-from shelfcast.plans.panel import PanelBuilder, feature_panel, monthly_panel
+from shelfcast.plans.panel import PanelBuilder, backfilled_sales, feature_panel, monthly_panel, priced_grid, sales_with_totals
 from shelfcast.session import co_located
 from shelfcast.sources.stages import StageStore
 
@@ -234,3 +234,37 @@ def test_known_months_spare_a_second_reading(chain, facts):
     small.assert_same(small.by_key(got), small.features())
     count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("posexplode")
     assert count(got) == 1 and count(ts_features(base, SPEC)) >= 1
+
+
+def test_parts_of_the_panel_are_made_before_the_months(chain, facts):
+    """Categories, prices and totals alone: the same values as by joins of the panel, and no join, sort or shuffle above its months."""
+    daily, items, shops = chain
+    dense = backfill_category(densify_zero_sales(monthly_item_sales(daily.join(items, "item_id", "left"), SPEC), shops, items, SPEC), items, SPEC)
+    priced = price_cascade(dense, facts, SPEC).drop("amount")
+    category_months = monthly_category_sales(daily.join(items, "item_id", "left"), SPEC)
+    totals = attach_category_amount(dense, category_months, SPEC).drop("price")
+    assert totals.where("amount_cat is null").count() == 0
+    for plan, joined in ((backfilled_sales, dense), (priced_grid, priced), (sales_with_totals, totals)):
+        got = plan(facts, items, shops, SPEC)
+        small.assert_same(small.by_key(got), small.by_key(joined))
+        text = got._jdf.queryExecution().executedPlan().toString()
+        above = text[: text.index("Generate posexplode")]
+        assert not any(word in above for word in ("Join", "Exchange", "Sort"))
+
+
+def test_a_category_without_sales_has_a_total_of_zero(spark, facts):
+    items = spark.createDataFrame([(11, 77), (12, None)], "item_id int, item_category_id int")
+    shops = spark.createDataFrame([(1,)], "shop_id int")
+    assert {r["amount_cat"] for r in sales_with_totals(facts, items, shops, SPEC).collect()} == {0.0}
+    panel = backfilled_sales(facts, items, shops, SPEC)
+    none = facts.select("shop_id", "item_category_id", "monthly_period", "amount").limit(0)
+    assert {r["amount_cat"] for r in attach_category_amount(panel, none, SPEC).collect()} == {0.0}
+
+
+def test_coarse_prices_come_from_one_aggregate(spark, chain, tmp_path):
+    """Means of items, of categories and of all sales read the facts once."""
+    daily, items, _shops = chain
+    monthly_facts(daily, items, SPEC).write.parquet(f"{tmp_path}/facts")
+    got = priced_items(items, spark.read.parquet(f"{tmp_path}/facts"), SPEC)
+    assert got.count() == len(small.ITEMS)
+    assert f"{tmp_path}/facts" not in " ".join(got.inputFiles())

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.scalars import mean_price
 from shelfcast.operators.grid import dense_grid, densify_zero_sales
 from shelfcast.operators.monthly import mean_prices, monthly_category_sales, monthly_item_sales
-from shelfcast.operators.prices import attach_category_amount, backfill_category, price_cascade
-from shelfcast.plans.panel import PanelBuilder, monthly_panel
+from shelfcast.plans.panel import PanelBuilder, backfilled_sales, monthly_panel, priced_grid, sales_with_totals
 from workloads.digest import digest, digest_sql
 from workloads.queries.cleaning import cleaned
 from workloads.queries.sources import BASE_DOUBLES, PERIOD_SHOP
@@ -103,6 +102,10 @@ def _(spark, sf_dir):
     return digest(dense_grid(b.tables["shop_list"], b.tables["item_list"], b.facts(), SPEC), PERIOD_SHOP, GRID)
 
 
+def lists(b: PanelBuilder) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return b.facts(), b.tables["item_list"], b.tables["shop_list"]
+
+
 def item_months(b: PanelBuilder) -> DataFrame:
     """The saved facts as monthly sales with their mean price."""
     price = mean_price(F.col("price_units"), F.col("price_count"), SPEC)
@@ -139,8 +142,7 @@ def _(spark, sf_dir):
 
 @query("backfill_category", digest_sql("with_category", PERIOD_SHOP, DENSE, ["price", "amount"]))
 def _(spark, sf_dir):
-    b = builder(spark, sf_dir)
-    return digest(backfill_category(dense_items(b), b.tables["item_list"], SPEC), PERIOD_SHOP, DENSE)
+    return digest(backfilled_sales(*lists(builder(spark, sf_dir)), SPEC), PERIOD_SHOP, DENSE)
 
 
 PRICED = [*GRID, "item_category_id", "price", "price_level"]
@@ -148,9 +150,7 @@ PRICED = [*GRID, "item_category_id", "price", "price_level"]
 
 @query("price_cascade", digest_sql("leveled", PERIOD_SHOP, PRICED, ["price"]))
 def _(spark, sf_dir):
-    b = builder(spark, sf_dir)
-    filled = price_cascade(backfill_category(dense_items(b), b.tables["item_list"], SPEC), b.facts(), SPEC)
-    return digest(filled, PERIOD_SHOP, PRICED)
+    return digest(priced_grid(*lists(builder(spark, sf_dir)), SPEC), PERIOD_SHOP, PRICED)
 
 
 @query("densify_category_sales", "SELECT monthly_period, shop_id, item_category_id, amount FROM category_panel")
@@ -163,9 +163,7 @@ ATTACHED = [*GRID, "item_category_id", "amount_item", "amount_cat"]
 
 @query("attach_category_amount", digest_sql("base", PERIOD_SHOP, ATTACHED, ["amount_item", "amount_cat"]))
 def _(spark, sf_dir):
-    b = builder(spark, sf_dir)
-    panel = backfill_category(dense_items(b), b.tables["item_list"], SPEC)
-    return digest(attach_category_amount(panel, dense_categories(b), SPEC), PERIOD_SHOP, ATTACHED)
+    return digest(sales_with_totals(*lists(builder(spark, sf_dir)), SPEC), PERIOD_SHOP, ATTACHED)
 
 
 @query("monthly_panel", digest_sql("base", PERIOD_SHOP, SPEC.base_columns, BASE_DOUBLES))

@@ -13,6 +13,7 @@ from shelfcast.functions.scalars import amount_sum, period_label, weekday_name
 from shelfcast.operators.cleaning import cleaning_report
 from shelfcast.operators.enrich import unrepresented, unseen_pairs
 from shelfcast.operators.splits import val_month_count
+from shelfcast.session import written_down
 from shelfcast.sources.tables import fix_schema
 from shelfcast.spec import PanelSpec
 
@@ -48,13 +49,14 @@ def _by_level(levels: Sequence[float], names: Sequence[str]) -> list[Column]:
     return [F.max(F.when(F.col("level") == q, F.col("quantile"))).alias(n) for q, n in zip(levels, names)]
 
 
-def _quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def quartiles_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column with its three exact quartiles."""
     levels = [0.25, 0.5, 0.75]
     return exact_quantiles(df, list(columns), levels).groupBy("column").agg(*_by_level(levels, ["q25", "q50", "q75"]))
 
 
-def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: count, mean, deviation, extremes and exact quartiles."""
+def describe_columns(df: DataFrame, columns: Sequence[str], quartiles: DataFrame | None = None) -> DataFrame:
+    """One row per column: count, mean, deviation, extremes and exact quartiles, which may be given (see ``quartiles_of``)."""
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     moments = (
         df.select(F.explode(F.array(*cells)).alias("cell"))
@@ -67,15 +69,15 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max("cell.value").alias("max"),
         )
     )
-    return moments.join(_quartiles(df, columns), "column", "left")
+    return moments.join(quartiles_of(df, columns) if quartiles is None else quartiles, "column", "left")
 
 
-def boxplot_stats(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
-    """One row per column: quartiles, the ends of the whiskers, and the number of points beyond.
+def boxplot_stats(df: DataFrame, columns: Sequence[str], reach: float = 1.5, quartiles: DataFrame | None = None) -> DataFrame:
+    """One row per column: quartiles, which may be given, the ends of the whiskers, and the number of points beyond.
 
     The quartiles are broadcast: one row for each column named.
     """
-    quartiles = _quartiles(df, columns)
+    quartiles = quartiles_of(df, columns) if quartiles is None else quartiles
     value, spread = F.col("value"), F.col("q75") - F.col("q25")
     low, high = F.col("q25") - reach * spread, F.col("q75") + reach * spread
     inside = value.between(low, high)
@@ -126,9 +128,11 @@ def price_amount_correlation(df: DataFrame, spec: PanelSpec = PanelSpec()) -> Da
     return df.where(known).agg(F.count(F.lit(1)).alias("pairs"), F.corr(spec.price, spec.amount).alias("correlation"))
 
 
-def completeness_profile(df: DataFrame) -> DataFrame:
-    """One row per column: its type and the number of known values, from one pass."""
-    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"known_{i}") for i, c in enumerate(df.columns)])
+def _known(df: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"known_{i}") for i, c in enumerate(df.columns)]]
+
+
+def _by_column(counted: DataFrame, df: DataFrame) -> DataFrame:
     rows = [
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"known_{i}").alias("known"))
         for i, f in enumerate(df.schema)
@@ -136,6 +140,52 @@ def completeness_profile(df: DataFrame) -> DataFrame:
     return counted.select("rows", F.explode(F.array(*rows)).alias("r")).select("r.*", "rows")
 
 
+def completeness_profile(df: DataFrame) -> DataFrame:
+    """One row per column: its type and the number of known values, from one pass."""
+    return _by_column(df.agg(*_known(df)), df)
+
+
+def overview(df: DataFrame, spec: PanelSpec = PanelSpec()) -> dict[str, DataFrame]:
+    """The reports ``completeness``, ``date_range`` and ``correlation`` from one pass, whose single row is written down."""
+    both = F.col(spec.price).isNotNull() & F.col(spec.amount).isNotNull()
+    row = written_down(
+        df.agg(
+            *_known(df),
+            F.min(spec.date).alias("first_date"),
+            F.max(spec.date).alias("last_date"),
+            F.count_if(both).alias("pairs"),
+            F.corr(spec.price, spec.amount).alias("correlation"),
+        )
+    )
+    return {
+        "completeness": _by_column(row, df),
+        "date_range": row.select("first_date", "last_date"),
+        "correlation": row.select("pairs", "correlation"),
+    }
+
+
+def sales_cube(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """Sales and amount by day, shop and category name, unknown ones included; written down.
+
+    All counts and amounts by day, month, weekday, shop and category are sums over it; ``amounts_by`` takes it in place of the sales.
+    """
+    keys = [spec.date, spec.shop, "item_category_name"]
+    return written_down(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), amount_sum(spec).alias(spec.amount)))
+
+
+def cube_reports(cube: DataFrame, spec: PanelSpec = PanelSpec(), above: float = 10000) -> dict[str, DataFrame]:
+    """The reports of counts and amounts, from ``sales_cube``."""
+    return {
+        "daily_counts": cube.where(F.col(spec.date).isNotNull()).groupBy(spec.date).agg(F.sum("count").alias("count")),
+        "daily_amounts": amounts_by(cube, [spec.date], spec),
+        "month_amounts": month_of_year_amounts(cube, spec),
+        "weekday_amounts": weekday_amounts(cube, spec),
+        "shop_amounts": amounts_by(cube, [spec.shop], spec),
+        "shop_period_amounts": shop_period_amounts(cube, spec),
+        "top_categories": top_categories(cube, above, spec),
+    }
+
+
 def missing_report(leveled: DataFrame) -> DataFrame:
     """One row: cells whose price is still missing after each step of the fall-back.
 
@@ -181,11 +231,12 @@ def data_profile(
 
     ``daily`` is the enriched fact, ``cleaned`` what is left of it, ``leveled`` the
     monthly panel with the fall-back level of each price. All three are read
-    several times; pass frames that are saved.
+    several times; pass frames that are saved. One pass over ``daily`` and one over ``cleaned`` are made and
+    written down at once, of which ten reports are taken; quartiles are worked out once for both reports that show them.
     """
     measures = [spec.price, spec.amount]
-    sold, shops, items = tables["transaction"], tables["shop_list"], tables["item_list"]
-    categories = tables["category_list"]
+    sold, shops, items, categories = (tables[t] for t in ("transaction", "shop_list", "item_list", "category_list"))
+    raw_quartiles, cleaned_quartiles = (quartiles_of(df, measures) for df in (daily, cleaned))
     return {
         "distinct_counts": distinct_counts(
             {
@@ -204,19 +255,11 @@ def data_profile(
         "unsold_items": unrepresented(items, sold, spec.item),
         "unselling_shops": unrepresented(shops, sold, spec.shop),
         "table_shapes": table_shapes(tables),
-        "completeness": completeness_profile(daily),
-        "date_range": date_range(daily, spec.date),
-        "describe_raw": describe_columns(daily, measures),
-        "describe_cleaned": describe_columns(cleaned, measures),
-        "boxplot_raw": boxplot_stats(daily, measures),
-        "boxplot_cleaned": boxplot_stats(cleaned, measures),
-        "correlation": price_amount_correlation(daily, spec),
-        "daily_counts": daily_counts(cleaned, spec),
-        "daily_amounts": amounts_by(cleaned, [spec.date], spec),
-        "month_amounts": month_of_year_amounts(cleaned, spec),
-        "weekday_amounts": weekday_amounts(cleaned, spec),
-        "shop_amounts": amounts_by(cleaned, [spec.shop], spec),
-        "shop_period_amounts": shop_period_amounts(cleaned, spec),
-        "top_categories": top_categories(cleaned, 10000, spec),
+        "describe_raw": describe_columns(daily, measures, raw_quartiles),
+        "describe_cleaned": describe_columns(cleaned, measures, cleaned_quartiles),
+        "boxplot_raw": boxplot_stats(daily, measures, quartiles=raw_quartiles),
+        "boxplot_cleaned": boxplot_stats(cleaned, measures, quartiles=cleaned_quartiles),
+        **overview(daily, spec),
+        **cube_reports(sales_cube(cleaned, spec), spec),
         "grid_cardinality": grid_cardinality(tables["shop_list"], tables["item_list"], tables["transaction"], spec),
     }

@@ -11,11 +11,15 @@ any, and boxes of every common kind are put around and into the article. A table
 of a built-in page.
 
 Text: character references decoded, white space inside a block made one space, blocks joined by a blank line. Scripts,
-styles, forms' controls and comments are no text.
+styles, forms' controls and comments are no text; formulas are, without their annotations.
 
 Defined results: null or empty html gives an empty text; html without any tag is one block; broken markup is read as browsers
-do, as far as it matters here: paragraphs and list items end where the next begins, ends without begin are skipped; pages are
-read whole; equal pages give equal texts; an empty table stays empty.
+do, as far as it matters here: paragraphs and list items end where the next begins, ends without begin are skipped, quotes
+inside names and unquoted values of attributes open nothing, a quoted value runs to the next such quote. Where a tag would so
+run to the end of the page, it and all later ones end at their first ``>`` instead, so that no text is lost; a tag without
+any is text. Pages are read whole, in time in proportion to their length however deep they are nested; equal pages give equal
+texts, elements as likely dropped as kept are kept; an empty table stays empty; other columns are carried along, one that has
+the name of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -32,15 +36,15 @@ from pyspark.sql import functions as F
 from shelfcast.llm.boosting import Trees, fit_trees
 from shelfcast.llm.store import arrow_rows
 
-MARKUP = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
-)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?")
+MARKUP = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*+)|[!?]|/[^a-zA-Z])")
+#: What follows a tag's name: its end, or an attribute with an unquoted value, the quote that opens one, or none.
+ATTRIBUTE = re.compile(r"[\s/]*+(?:(>)|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:([\"'])|([^\s>]*+)))?+)")
+COMMENT_END = re.compile("--!?>")
 TOKEN = re.compile(r"[a-z]+")
 SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 #: Element names by role.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-NO_TEXT = RAW | frozenset("head template svg math button select option optgroup object canvas audio video map datalist".split())
+NO_TEXT = RAW | frozenset("head template svg annotation annotation-xml button select option optgroup object canvas audio video map datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
@@ -77,81 +81,134 @@ class Node:
         self.main = False
 
 
-def _tokens(attributes: str) -> tuple[str, ...]:
-    if not attributes.strip():
-        return ()
+NAMING = frozenset("class id role itemprop aria-label".split())
+
+
+def _tokens(attributes: list[tuple[str, str]]) -> tuple[str, ...]:
     found: list[str] = []
-    for name, a, b, c in ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role", "itemprop", "aria-label"):
-            value = re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c)
-            found += TOKEN.findall(value.lower())
+    for name, value in attributes:
+        if name.lower() in NAMING:
+            found += TOKEN.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
     return tuple(found)
 
 
+class _Markup:
+    """Reads the tags of a page. ``loose``: a tag ran to the end of the page, so all end at their first ``>`` from there on."""
+
+    def __init__(self, page: str):
+        self.page, self.loose = page, False
+
+    def tag(self, at: int) -> tuple[int, list[tuple[str, str]], bool]:
+        """From the end of a tag's name: where the tag ends (-1: nowhere), its attributes, and whether it closes itself."""
+        page, found, to = self.page, [], at
+        if page.startswith(">", at):
+            return at + 1, found, False
+        while not self.loose:
+            m = ATTRIBUTE.match(page, to)
+            if m is None:
+                self.loose = True
+            elif m[1]:
+                return m.end(), found, m.end() - m.start() > 1 and page[m.end() - 2] == "/"
+            elif m[3]:
+                to = page.find(m[3], m.end()) + 1
+                self.loose = to == 0
+                found.append((m[2], page[m.end() : to - 1]))
+            else:
+                to = m.end()
+                found.append((m[2], m[4] or ""))
+        end = page.find(">", at)
+        return end + 1 if end >= 0 else -1, [], end >= 0 and page[end - 1] == "/"
+
+    def comment(self, at: int) -> int:
+        """Where the comment or declaration ends that starts at ``at``; -1 if nowhere."""
+        page = self.page
+        if page.startswith("<!--", at):
+            m = COMMENT_END.search(page, at + 2)
+            return m.end() if m else len(page)
+        if page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at)
+            return end + 3 if end >= 0 else len(page)
+        return page.find(">", at) + 1 or -1
+
+
+class _Open:
+    """The open elements, and where those of each name lie among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {}
+
+    def open(self, tag: str, tokens: tuple[str, ...]) -> Node:
+        node = Node(tag, tokens, self.nodes[-1])
+        self.nodes[-1].children.append(node)
+        self.places.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+        return node
+
+    def innermost(self, tag: str) -> int:
+        """0 if no element of that name is open."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def close(self, tag: str, limits: tuple[str, ...] = ()) -> None:
+        """End the innermost open element of that name, unless one of the limits is open inside it."""
+        place = self.innermost(tag)
+        if place and all(self.innermost(limit) < place for limit in limits):
+            while len(self.nodes) > place:
+                self.places[self.nodes.pop().tag].pop()
+
+
 def parse(page: str) -> Node:
     """The page's elements as a tree, texts undecoded."""
     root = Node("html", (), None)
-    stack = [root]
+    stack, markup = _Open(root), _Markup(page)
     at, end = 0, len(page)
     search = MARKUP.search
     while at < end:
         m = search(page, at)
         if m is None:
-            stack[-1].children.append(page[at:])
+            stack.nodes[-1].children.append(page[at:])
+            break
+        attributes, selfclosed = [], False
+        if m[2] is None:
+            to = markup.comment(m.start())
+        else:
+            to, attributes, selfclosed = markup.tag(m.end())
+        if to < 0:  # no ">" follows anywhere
+            stack.nodes[-1].children.append(page[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if tag is None:
+            stack.nodes[-1].children.append(page[at : m.start()])
+        at = to
+        if m[2] is None:
             continue
-        tag = tag.lower()
+        tag = m[2].lower()
         if m[1]:
-            _close(stack, tag)
+            stack.close(tag)
             continue
         if tag in ("html", "body"):
-            if tag == "body" and not any(n.tag == "body" for n in stack):
-                if any(n.tag == "head" for n in stack):
-                    _close(stack, "head")
-                _open(stack, tag, _tokens(m[3]))
+            if tag == "body" and not stack.innermost("body"):
+                stack.close("head")
+                stack.open(tag, _tokens(attributes))
             continue
-        if tag in BLOCKS and tag not in ("html", "body"):
-            if any(n.tag == "head" for n in stack):
-                _close(stack, "head")
-            _close(stack, "p", ("table", "td", "th", "button"))
+        if tag in BLOCKS:
+            stack.close("head")
+            stack.close("p", ("table", "td", "th", "button"))
             if tag in ENDS_BEFORE:
                 names, limits = ENDS_BEFORE[tag]
                 for name in names.split():
-                    _close(stack, name, limits)
-        node = _open(stack, tag, _tokens(m[3]))
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW:
-            stack.pop()
+                    stack.close(name, limits)
+        node = stack.open(tag, _tokens(attributes))
+        if tag in VOID or selfclosed and tag not in BLOCKS and tag not in RAW:
+            stack.close(tag)
         elif tag in RAW:
             close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
             node.children.append(page[at : close.start()] if close else page[at:])
-            stack.pop()
+            stack.close(tag)
             shut = page.find(">", close.end()) if close else -1
             at = shut + 1 if shut >= 0 else end
     return root
 
 
-def _open(stack: list[Node], tag: str, tokens: tuple[str, ...]) -> Node:
-    node = Node(tag, tokens, stack[-1])
-    stack[-1].children.append(node)
-    stack.append(node)
-    return node
-
-
-def _close(stack: list[Node], tag: str, limits: tuple[str, ...] = ()) -> None:
-    """End the innermost open element of that name, unless one of the limits is open inside it."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in limits:
-            return
-
-
 def elements(root: Node) -> list[Node]:
     """All elements that can hold text, parents first."""
     out, todo = [], [root]
@@ -432,14 +489,18 @@ def main_texts(pages: list[str | None], trees: Trees) -> list[str]:
     return out
 
 
-def learn_pages(pages: DataFrame, *, fit_pages: int = 250) -> Trees:
-    """Fit the trees to about ``fit_pages`` pages with an article element, drawn by hash."""
-    named = pages.select("html").where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    n = named.count()
-    if n > fit_pages:
-        named = named.where(F.pmod(F.xxhash64(F.lit(7), "html"), F.lit(1 << 20)) < int((1 << 20) * fit_pages / n))
-    rows = sorted(r["html"] for r in named.where(F.length("html") < 20_000).collect())
-    return fit_pages_trees(rows)
+def learn_pages(pages: DataFrame, *, fit_pages: int = 250, page_chars: int = 20_000) -> Trees:
+    """Fit the trees to at most ``fit_pages`` different pages of less than ``page_chars`` characters with an article element.
+
+    They are drawn by hash, equal ones once. Longer pages are read like any other; where all are longer, the built-in page
+    stands in.
+    """
+    drawn = F.pmod(F.xxhash64(F.lit(7), "html"), F.lit(1 << 20))
+    named = pages.where(F.length("html") < page_chars).where(F.col("html").rlike("(?i)<(article|main)[\\s>]")).select("html", drawn.alias("drawn"))
+    n = named.agg(F.approx_count_distinct(F.xxhash64("html"))).first()[0]
+    if n > 2 * fit_pages:
+        named = named.where(F.col("drawn") < int((1 << 20) * 2 * fit_pages / n))
+    return fit_pages_trees(sorted(r["html"] for r in named.distinct().orderBy("drawn", "html").limit(fit_pages).collect()))
 
 
 def extract_text(pages: DataFrame, *, fit_pages: int = 250, to: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from shelfcast.llm.html import STARTER, Node, blocks_of, decode, elements, extract_text, fit_pages_trees, main_texts, parse
@@ -41,11 +43,28 @@ def test_markup():
     texts = {
         "a<br>b": ["a b"], "<p>a<p>b": ["a", "b"], "<ul><li>a<li>b</ul>c": ["a", "b", "c"], "<b>a</b> <i>b</i>c": ["a bc"], "x<script>1<2</script>y": ["xy"],
         "<p>a</div>b</p>": ["ab"], "a<!-- <p>z -->b": ["ab"], "a < b": ["a < b"], "&eacute;&#233;&#xe9;&nbsp;&amp;amp;": ["ééé &amp;"], "<p title='a>b'>c": ["c"], "<p>a\n\t b  </p>\n<p> </p>": ["a b"],
+        "<p data-x=it's>a, don't</p><p>b</p>": ["a, don't", "b"], '<a href="x>link</a>': ["link"], '<a href="x>a</a><b id="y">c</b>': ["c"], "<p title='it": ["<p title='it"],
+        "a<a href=x/>b</a>c<br/>d": ["abc d"], "<p a='1'b=\"2\">c": ["c"], "a</>b</ x>c": ["abc"], "<!-->a<!--->b": ["ab"], "a<![CDATA[b]]>c": ["ac"], "<svg><path d='z'/></svg>a": ["a"],
+        "a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> b": ["a x=1 b"], "<p a='>'>b<p a='>c": ["b", "c"],
         "<textarea>z</textarea>a": ["a"], "<table><tr><td>a<td>b<tr><td>c</table>": ["a", "b", "c"], "a<script>unended": ["a"], "<!-- unended": [],
     }
     assert {t: blocks_of(parse(t)) for t in texts} == texts
 
 
+def test_hostile_pages_take_linear_time():
+    """Twice the page takes about twice the time; anything that grows with the square would take four times."""
+    kinds = ["<div>", "<ul><li>", "<table><tr><td>", "<a href='x>t", "<a b='>' ", "<![CDATA[", "<!x", "<a x "]
+    for kind in kinds:
+        spent = []
+        for n in (20_000, 80_000):
+            start = time.process_time()
+            nodes = elements(parse("<p><table><tr><td>" + kind * n + "deep"))
+            decode(nodes, np.zeros(len(nodes)))
+            blocks_of(nodes[0])
+            spent.append(time.process_time() - start)
+        assert spent[1] < 9 * spent[0] + 0.3, kind
+
+
 def test_decoding_never_contradicts():
     draw = np.random.Generator(np.random.PCG64(4))
     nodes = [Node("div", (), None)]
@@ -67,7 +86,7 @@ def test_decoding_never_contradicts():
 def test_odd_rows(spark, trees):
     assert main_texts([None, "", "just text &amp; more", "<p>", "<" * 3000, "<div>" * 3000 + "deep", STARTER], trees)[:4] == ["", "", "just text & more", ""]
     rows = [(1, None, None, 5), (None, "u", "", 6), (2, "u", STARTER, 7), (2, "u", STARTER, 7), (3, "u", "x " * 100_000, 8)]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int").drop("text")
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")  # a column with the result's name is replaced
     got = extract_text(pages).collect()
     assert len(got) == 5 and sorted(len(r["text"]) for r in got)[:2] == [0, 0] and max(len(r["text"]) for r in got) == 199_999
     assert len({r["text"] for r in got if r["page_id"] == 2}) == 1

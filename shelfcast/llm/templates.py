@@ -15,8 +15,8 @@ only these do.
 Templates are counted by hash, summed up before the shuffle. Only lines of recurring templates are looked at again, and the
 texts move once, to meet the places of their dropped lines.
 
-Defined results: null stays null, an empty text empty; a line without words is never dropped, nor is the only line of a text;
-a text that loses all its lines becomes empty, its row stays; equal rows lose the same lines; an empty table stays empty;
+Defined results: null stays null, an empty text empty; a line without words is never dropped, nor is the only line with words
+of a text, which counts as a document of its template nevertheless; a text that loses all its lines becomes empty, its row stays; equal rows lose the same lines; an empty table stays empty;
 other columns are carried along untouched.
 """
 
@@ -36,9 +36,9 @@ from shelfcast.llm.text import buffer_of, column, lines_of, mix, pieces, prefix_
 LEADING, FIELDS, LEAST_GENERAL = 3, 3, 9
 SHINGLE, LANES, ALIKE = 5, 128, 109
 LENGTHS = (3, 8, 20)  # tokens at which the next class begins
-#: Documents a template must be in by class of length, as a number and as a share of all documents: short lines recur by chance.
-#: One more is asked for with a variable third.
-LEAST_DOCUMENTS = ((10, 0.005), (10, 0.0005), (3, 0.0), (2, 0.0))
+#: Documents a template must be in by class of length: short lines recur by chance. One more is asked for with a variable third.
+#: The numbers do not grow with the corpus, so other documents never bring a dropped line back.
+LEAST_DOCUMENTS = (100, 10, 3, 2)
 _DIGIT = np.array([48 <= b <= 57 for b in range(256)])
 _FIELD = np.uint64(0x5851F42D4C957F2D)
 _LANE_BITS = mix(np.arange(1, LANES + 1, dtype=np.uint64))
@@ -120,10 +120,10 @@ def _parsed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _least(documents: int) -> Column:
+def _least() -> Column:
     """How many documents the template of a key must be in."""
-    needed = [max(number, int(share * documents)) for number, share in LEAST_DOCUMENTS]
-    return F.get(F.array(*[F.lit(n) for n in needed]), F.col("key").bitwiseAND(F.lit(3)).cast("int")) + (F.col("key").bitwiseAND(F.lit(4)) / 4).cast("int")
+    needed = F.array(*[F.lit(n) for n in LEAST_DOCUMENTS])
+    return F.get(needed, F.col("key").bitwiseAND(F.lit(3)).cast("int")) + (F.col("key").bitwiseAND(F.lit(4)) / 4).cast("int")
 
 
 def _alike() -> Column:
@@ -137,25 +137,24 @@ def _alike() -> Column:
 
 def _dropped_places(parsed: DataFrame) -> DataFrame:
     """(doc_id, text_key, drop): the places of the lines to drop, for each text that loses some."""
-    several = parsed.where(F.size("keys") > 1)
-    documents = parsed.count()
-    every = several.select(F.explode(F.array_distinct(F.concat("keys", "general"))).alias("key")).where("key <> 0")
+    every = parsed.select(F.explode(F.array_distinct(F.concat("keys", "general"))).alias("key")).where("key <> 0")
     # Tables that are joined by key are written first: between two plain exchanges Spark can split a key with very many rows.
-    recurring = saved(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _least(documents)), "lines-recurring")
-    lines = several.select("row_id", "sketch", "general", "places", F.posexplode("keys").alias("i", "own"))
+    recurring = saved(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _least()), "lines-recurring")
+    several = (F.size("keys") > 1).alias("several")
+    lines = parsed.select("row_id", "sketch", several, "general", "places", F.posexplode("keys").alias("i", "own"))
     at = F.col("i")
     lines = lines.select(
-        "row_id", "sketch", F.get("places", at).alias("place"),
+        "row_id", "sketch", "several", F.get("places", at).alias("place"),
         F.explode(F.array(F.col("own"), *[F.get("general", at * FIELDS + j) for j in range(FIELDS)])).alias("key"),
     ).where("key <> 0")
     seen = saved(lines.join(recurring, "key"), "lines-seen")
     first = seen.groupBy("key").agg(F.min(F.struct("row_id", "sketch")).alias("one")).select("key", F.col("one.sketch").alias("first_sketch"))
     first = saved(first, "lines-first")
-    judged = saved(seen.join(first, "key").select("key", "row_id", "place", "n", (~_alike()).alias("other")), "lines-judged")
+    judged = saved(seen.join(first, "key").select("key", "row_id", "several", "place", "n", (~_alike()).alias("other")), "lines-judged")
     others = judged.where("other").select("key", "row_id", "n").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("others"), F.first("n").alias("n"))
-    templates = others.where(F.col("others") + 1 >= _least(documents)).select("key", (2 * F.col("others") >= F.col("n")).alias("from_all"))
+    templates = others.where(F.col("others") + 1 >= _least()).select("key", (2 * F.col("others") >= F.col("n")).alias("from_all"))
     templates = saved(templates, "lines-templates")
-    hits = judged.join(templates, "key").where(F.col("other") | F.col("from_all"))
+    hits = judged.where("several").join(templates, "key").where(F.col("other") | F.col("from_all"))
     hits = hits.groupBy("row_id").agg(F.collect_set("place").alias("drop"))
     texts = parsed.select("row_id", "doc_id", "text_key").join(hits, "row_id").select("doc_id", "text_key", "drop")
     drops = saved(texts.dropDuplicates(["doc_id", "text_key"]), "lines-drops")
@@ -170,10 +169,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     drops = _dropped_places(parsed).select(F.col("doc_id").alias("its"), F.col("text_key").alias("its_key"), "drop")
     whole = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"))
     joined = whole.join(drops, (F.xxhash64("text") == F.col("its_key")) & F.col("doc_id").eqNullSafe(F.col("its")), "left")
-    lines = F.split(F.col("text"), "\n")
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("drop", i)), "\n")
+    joined = joined.withColumn("parts", F.split("text", "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "drop")  # by a hash set, in order
+    left = F.array_join(F.transform(places, lambda i: F.get("parts", i)), "\n")
     return joined.select(
-        "row", F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("lines"),
+        "row", F.coalesce(F.size("parts"), F.lit(0)).cast("bigint").alias("lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("bigint").alias("dropped"),
         F.when(F.col("drop").isNull(), F.col("text")).otherwise(left).alias("left"),
     )

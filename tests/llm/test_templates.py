@@ -51,6 +51,69 @@ def test_partly_alike_documents_are_no_copies(spark):
         assert left[len(texts) + i] == page.split("\n")[3]
 
 
+def line(seed, words):
+    return prose(seed, words).replace("\n", " ")
+
+
+def test_more_documents_bring_nothing_back(spark):
+    """Short and long lines recur in a fixed number of documents; single lines count, and stay."""
+    fold = [f"{line(100_000 + 3 * i, 30)}\n{put}\n{line(100_001 + 3 * i, 30)}" for i, put in enumerate(["Read more"] * 105 + ["Back to the start page"] * 11 + ["Never seen twice here"] * 9)]
+    single = line(110_000, 30)
+    pair = [single, f"{line(110_001, 30)}\n{single}\n{line(110_002, 30)}"]
+    others = [f"{line(200_000 + 2 * i, 12)}\n{line(200_001 + 2 * i, 12)}" for i in range(1500)]
+    for texts in (fold + pair, fold + pair + others):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        got = {r["doc_id"]: r for r in dedup_lines(docs).select("row.doc_id", "dropped", "left").collect()}
+        assert [got[i]["dropped"] for i in range(len(texts))] == [1] * 116 + [0] * 9 + [0, 1] + [0] * (len(texts) - 127)
+        assert got[126]["left"] == "\n".join(pair[1].split("\n")[::2])
+
+
+def test_against_counts_by_hand(spark):
+    """Long lines without digits, in documents that are no copies of each other: a template is a line, or one with a free third."""
+    draw = random.Random(5)
+    pool = [line(300_000 + k, 12) for k in range(60)]
+    texts = []
+    for i in range(300):
+        rows = [line(400_000 + 10 * i + k, 25) for k in range(5)]
+        for _ in range(draw.randint(0, 2)):
+            words = draw.choice(pool).split()
+            if draw.random() < 0.5:
+                words[draw.randrange(3, 12)] = f"own{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100]}"
+            rows.insert(draw.randrange(len(rows) + 1), " ".join(words))
+        texts.append("\n".join(rows))
+
+    def templates(text):
+        """Of every line: its templates, with the number of documents each one must be in."""
+        for row in text.split("\n"):
+            words, kinds = row.split(), {}
+            kinds[tuple(words)] = 3 if len(words) < 20 else 2
+            for j in range(3):
+                a, b = (3 + (len(words) - 3) * k // 3 for k in (j, j + 1))
+                kinds[(*words[:a], None, *words[b:], j)] = kinds[tuple(words)] + 1
+            yield kinds
+
+    within: dict[tuple, set[int]] = {}
+    for i, text in enumerate(texts):
+        for kinds in templates(text):
+            for k in kinds:
+                within.setdefault(k, set()).add(i)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    left = {r["doc_id"]: r["left"] for r in dedup_lines(docs).select("row.doc_id", "left").collect()}
+    expected = {}
+    for i, text in enumerate(texts):
+        rows = zip(text.split("\n"), templates(text))
+        expected[i] = "\n".join(row for row, kinds in rows if all(len(within[k]) < least for k, least in kinds.items()))
+    assert left == expected and sum(expected[i] != t for i, t in enumerate(texts)) > 100
+
+
+def test_many_lines_in_one_text(spark):
+    rows = [f"this is the line {a} and {b} of a long table of words" for a in "abcdefgh" for b in range(5000)]
+    texts = ["\n".join(rows), "\n".join([line(1, 40), rows[7], line(2, 40)]), "\n".join([line(3, 40), rows[8], line(4, 40)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["dropped"] for r in dedup_lines(docs).select("row.doc_id", "dropped").collect()}
+    assert got[1] == got[2] == 1 and got[0] >= 5000
+
+
 def test_odd_rows(odd_docs, no_docs):
     left = deduplicated_documents(odd_docs)
     key = lambda r: str(r)

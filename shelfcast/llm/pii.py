@@ -6,14 +6,15 @@ separators, whole and cut at blanks, addresses spelled with "at" and "dot", and
 boosted trees judge the format of a proposal and the words around it. Above the kind's threshold the likeliest proposals are
 taken, none overlapping a base span or each other.
 
-The trees are fitted to at most ``fit_rows`` texts with digits, drawn by hash: base spans as they stand and rewritten in other
+The trees are fitted to at most ``fit_rows`` different texts with digits, drawn by hash, none of ``text_chars`` or more: base spans as they stand and rewritten in other
 formats are examples of their kind; other chains of digits, numbers that fail their check, dates, prices, versions and serial
 numbers put in the same places are not. Each threshold is the lowest at which ``precision`` of a held-out third is right.
 
 Places are counted in code points. All patterns run in time proportional to the text.
 
 Defined results: null and empty texts have no spans; texts are read whole; equal rows get equal spans; without any example in
-the table the trees are fitted to rewritten examples alone; an empty table gives an empty result.
+the table the trees are fitted to rewritten examples alone; of equally likely proposals the longest, then the first, is
+taken; an empty table gives an empty result; other columns are carried along, one with the result's name is replaced by it.
 """
 
 from __future__ import annotations
@@ -270,13 +271,18 @@ def fit_finder(texts: list[str], *, precision: float = 0.995, seed: int = 9) ->
     return Finder(trees, thresholds)
 
 
-def learn_finder(docs: DataFrame, *, fit_rows: int = 2000, precision: float = 0.995) -> Finder:
-    """Fit on about ``fit_rows`` texts with digits, drawn by hash."""
-    dated = docs.select("text").where(F.col("text").rlike("[0-9]") & (F.length("text") < 50_000))
-    n = dated.count()
-    if n > fit_rows:
-        dated = dated.where(F.pmod(F.xxhash64(F.lit(13), "text"), F.lit(1 << 20)) < int((1 << 20) * fit_rows / n))
-    return fit_finder(sorted(r["text"] for r in dated.collect()), precision=precision)
+def learn_finder(docs: DataFrame, *, fit_rows: int = 2000, text_chars: int = 50_000, precision: float = 0.995) -> Finder:
+    """Fit on at most ``fit_rows`` different texts of less than ``text_chars`` characters with digits, drawn by hash, equal ones once.
+
+    Longer texts are searched like any other.
+    """
+    drawn = F.pmod(F.xxhash64(F.lit(13), "text"), F.lit(1 << 20))
+    dated = docs.where((F.length("text") < text_chars) & F.col("text").rlike("[0-9]")).select("text", drawn.alias("drawn"))
+    n = dated.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
+    if n > 2 * fit_rows:
+        dated = dated.where(F.col("drawn") < int((1 << 20) * 2 * fit_rows / n))
+    texts = dated.distinct().orderBy("drawn", "text").limit(fit_rows).collect()
+    return fit_finder(sorted(r["text"] for r in texts), precision=precision)
 
 
 def spelled(spans: list[Span]) -> str:

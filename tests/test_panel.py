@@ -268,3 +268,33 @@ def test_coarse_prices_come_from_one_aggregate(spark, chain, tmp_path):
     got = priced_items(items, spark.read.parquet(f"{tmp_path}/facts"), SPEC)
     assert got.count() == len(small.ITEMS)
     assert f"{tmp_path}/facts" not in " ".join(got.inputFiles())
+
+
+def test_a_saved_panel_is_smaller_than_its_rows(spark, chain, tmp_path):
+    """One row per shop x item is saved, none per month, and neither windows nor look-ups by item shuffle the rows laid out from it."""
+    daily, items, shops = chain
+    raw = daily.withColumn("date", F.date_format("date", "d.M.yyyy")).drop("monthly_period")
+    store = StageStore(spark, str(tmp_path))
+    b = PanelBuilder({"transaction": raw, "item_list": items, "shop_list": shops}, store, "small")
+    small.assert_same(small.by_key(b.features()), small.features())
+    paths = store.part_paths("features", b.base_settings | b.settings("lags"), list(b.stage_parts))
+    assert spark.read.parquet(paths["entities"]).count() == len(small.ITEMS) * len(small.SHOPS)
+    assert spark.read.parquet(paths["months"]).count() == b.facts().dropna(subset=b.spec.key).select("monthly_period").distinct().count()
+    lagged = feature_lags(b.base(), ["amount_item"], SPEC)
+    plan = lagged._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan[: plan.index("NestedLoopJoin")]
+    small.assert_same(small.by_key(ts_features(b.base(), SPEC)), small.features())
+
+
+def test_a_null_item_and_a_null_category_keep_their_rows(spark, tmp_path):
+    """What is saved and laid out again is what the plan makes at once, with nulls in all lists and sales."""
+    sales = spark.createDataFrame(
+        [(1, 11, "1.1.2020", 2.0, 1.0), (1, None, "3.2.2020", 3.0, 1.0), (None, 11, "1.3.2020", 4.0, None), (2, 12, "1.4.2020", None, 5.0), (2, 12, "1.5.2020", 6.0, 5.0), (2, 11, "1.6.2020", 6.5, 2.0), (1, 12, "1.7.2020", 1.0, 3.0)],
+        "shop_id int, item_id int, date string, price double, amount double",
+    )
+    items = spark.createDataFrame([(11, 1), (12, None), (None, 2), (13, 2)], "item_id int, item_category_id int")
+    shops = spark.createDataFrame([(1,), (2,), (None,)], "shop_id int")
+    b = PanelBuilder({"transaction": sales, "item_list": items, "shop_list": shops}, StageStore(spark, str(tmp_path)), "nulls", SPEC)
+    for saved, plan in ((b.base(), monthly_panel), (b.features(), feature_panel)):
+        made = plan(b.facts(), items, shops, SPEC).select(saved.columns)
+        assert saved.count() == made.count() > 0 and saved.exceptAll(made).count() == 0

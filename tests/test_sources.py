@@ -101,3 +101,18 @@ def test_predictions_csv(spark, tmp_path):
 
 def test_shared_folder_is_the_clusters(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_stage_of_several_frames_is_committed_by_the_last(spark, tmp_path):
+    store, built = StageStore(spark, str(tmp_path)), []
+
+    def build():
+        built.append(1)
+        return {"rows": spark.range(3 + len(built)), "days": spark.range(2)}
+
+    parts = {"rows": [], "days": []}
+    before = store.tables("s", 1, build, parts)
+    assert store.tables("s", 1, build, parts)["rows"].count() == 4 and len(built) == 1
+    assert store.tables("s", 1, build, parts, refresh=True)["rows"].count() == 5 and before["rows"].count() == 4
+    (tmp_path / store.path("s", 1).split("/")[-1] / "v2" / "_SUCCESS").unlink()
+    assert store.tables("s", 1, build, parts)["rows"].count() == 4

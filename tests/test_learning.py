@@ -209,6 +209,14 @@ def test_parts_are_encoded_once(features):
     assert "Join" not in plan and plan.count("Relation") == 2
 
 
+def test_encoded_rows_are_written_by_column(spark, features):
+    """One column for each feature lies on disk, no vectors; the vectors read are the ones scored."""
+    trained = train_linear(features, "last_months_val", SPEC, alpha=0.1)
+    written = spark.read.parquet(*trained.train.inputFiles())
+    assert "features" not in written.columns and set(feature_names(trained.pipeline)) <= set(written.columns)
+    assert trained.train.columns == [*SPEC.key, SPEC.category, "features", "label"]
+
+
 def test_linear_pipeline_is_saved_whole(spark, features, tmp_path):
     trained = train_linear(features, "last_months_val", SPEC, alpha=0.1)
     scores = {r["split"]: r for r in trained.scores().collect()}

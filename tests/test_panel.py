@@ -298,3 +298,26 @@ def test_a_null_item_and_a_null_category_keep_their_rows(spark, tmp_path):
     for saved, plan in ((b.base(), monthly_panel), (b.features(), feature_panel)):
         made = plan(b.facts(), items, shops, SPEC).select(saved.columns)
         assert saved.count() == made.count() > 0 and saved.exceptAll(made).count() == 0
+
+
+def test_tasks_grow_with_the_cells(spark, chain, facts, monkeypatch):
+    """A panel that is not saved gets tasks by its cells, dealt out by shop and item once for the grid and once for the facts; the totals
+    of categories, whose size is known, do not move its rows."""
+    _daily, items, shops = chain
+    monkeypatch.setattr(grid, "CELLS_PER_TASK", 10)
+    periods = facts.dropna(subset=SPEC.key).select("monthly_period").distinct().count()
+    tasks = -(-len(small.SHOPS) * len(small.ITEMS) * periods // 10)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16k")
+    try:
+        monthly = facts.select("monthly_period", "shop_id", "item_id", "amount")
+        frames = [densify_zero_sales(monthly, shops, items, SPEC), priced_grid(facts, items, shops, SPEC), feature_panel(facts, items, shops, SPEC)]
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in frames]
+    finally:
+        spark.conf.set(name, before)
+    for plan in plans:
+        by_pair = [n for n in nodes(plan) if "Exchange hashpartitioning(shop_id" in n and "item_id" in n]
+        assert by_pair and all(f", {tasks}), REPARTITION_BY_NUM" in n for n in by_pair)
+        assert not [n for n in nodes(plan[: plan.index("Generate explode(")]) if "Exchange hashpartitioning(shop_id" in n and "category" in n]
+    small.assert_same(small.by_key(frames[-1]), small.features())

@@ -300,6 +300,20 @@ def test_a_null_item_and_a_null_category_keep_their_rows(spark, tmp_path):
         assert saved.count() == made.count() > 0 and saved.exceptAll(made).count() == 0
 
 
+def test_a_saved_panel_tells_its_price_levels(spark, chain, tmp_path):
+    """The profile needs no panel written as rows: the saved one has the level of each price, null where there is none."""
+    daily, items, shops = chain
+    raw = daily.withColumn("date", F.date_format("date", "d.M.yyyy")).drop("monthly_period")
+    b = PanelBuilder({"transaction": raw, "item_list": items, "shop_list": shops}, StageStore(spark, str(tmp_path)), "small")
+    saved = b.base(with_level=True)
+    small.assert_same(small.by_key(saved), small.panel())
+    assert "price_level" not in b.base().columns
+    items = spark.createDataFrame([(11, 77)], "item_id int, item_category_id int")
+    unpriced = b.facts().withColumn("price_count", F.lit(0).cast("bigint")).withColumn("price_units", F.lit(None).cast("double"))
+    made = monthly_panel(unpriced, items, shops, SPEC, with_level=True)
+    assert {r["price_level"] for r in made.collect()} == {None}
+
+
 def test_tasks_grow_with_the_cells(spark, chain, facts, monkeypatch):
     """A panel that is not saved gets tasks by its cells, dealt out by shop and item once for the grid and once for the facts; the totals
     of categories, whose size is known, do not move its rows."""

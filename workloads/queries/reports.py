@@ -366,9 +366,9 @@ def _(spark, sf_dir):
         for name, build in (
             ("daily", lambda: daily(spark, sf_dir)),
             ("cleaned_daily", lambda: cleaned(spark, sf_dir)),
-            ("leveled", lambda: monthly_panel(b.facts(), b.tables["item_list"], b.tables["shop_list"], SPEC, with_level=True)),
         )
     ]
+    saved.append(b.base(with_level=True))
     totals = PROFILE | {"boxplot_cleaned": ("", "outliers"), "unsold_items": ("", "item_id"), "unselling_shops": ("", "shop_id")}
     return reduce(
         DataFrame.unionByName,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 from collections import defaultdict
 from itertools import takewhile
 
@@ -288,3 +289,21 @@ def test_tree_search_halves(matrix, monkeypatch):
     assert fitted[:7] == [1] * 5 + [2] * 2 and len(search.scores) == len(search.drawn) == 5 and sorted(search.rounds)[:3] == [1, 1, 1]
     best = min(range(5), key=lambda i: (search.scores[i], i))
     assert all(s > 0 for s in search.scores) and search.bestModel.getNumTrees <= 4 and search.rounds[best] >= 1
+
+
+def test_fits_leave_no_shuffles_behind(spark):
+    """Each pass of the encoders shuffles its input anew; until the next one, only the latest pass stays on disk."""
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+    rows = spark.range(2_000).select("id", (F.col("id") % 7).alias("cat"), (F.col("id") % 11).cast("double").alias("label")).repartition(3, "cat")
+    encoder = LabelMeanEncoder(inputCols=["cat"])
+    for work in (RangeScaler(inputCols=["label"]).fit, encoder.fit, lambda df: encoder.crossfit(df, ["id"])):
+        left = files()
+        work(rows)
+        until = time.time() + 20
+        while files() & left and time.time() < until:
+            time.sleep(0.2)
+        assert not files() & left

@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from shelfcast.llm.mixing_model import BUCKETS, GATES, INPUTS, PAIRS, PREDICTORS, Model, _lowered, _profiles, _read, _summed, _united, beginnings, kind_centres, log10_of_words, score_texts, squeezed, stretched
+from shelfcast.llm.mixing_model import BUCKETS, GATES, HISTORY, INPUTS, PAIRS, PREDICTORS, Model, _lowered, _profiles, _read, _summed, _united, beginnings, code_heads, code_words, head_codes, kind_centres, log10_of_words, score_texts, squeezed, stretched
 from shelfcast.llm.store import saved
+from shelfcast.llm.text import mix, split_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -106,3 +107,36 @@ def test_lists_move_packed(spark, tmp_path):
     assert words.count() == different + 1
     want = collections.Counter(t for i, text in enumerate(texts) if not held(i) for t in text.split())
     assert {bytes(r["word"]).decode(): r["n"] for r in words.where("n > 0 and word != x''").collect()} == dict(want)
+
+
+def test_contexts_reach_over_blanks():
+    """Heads and tails hold every byte of the texts once, each with the last four bytes of its text; contexts once ended at the word's start."""
+    texts = ["the cat sat on a mat", "", "  a\n\tab abc abcd  éclair ", "x", "on the mat"]
+    data, bounds = _lowered(pa.array(texts))
+    words, kinds = split_words(data, bounds), np.array([0, 1, 0, 3, 2])
+    coded = code_heads(head_codes(words, kinds))
+    got = collections.Counter((int(b), *map(int, c)) for b, *c in zip(coded.data, *coded.contexts))
+    tails = [(data[a:b].tobytes(), kinds[t]) for a, b, t in zip(words.starts, words.ends, words.text_of)]
+    coded = code_words(pa.array([w for w, _ in tails], pa.binary()), np.array([k for _, k in tails]), begin=HISTORY)
+    got += collections.Counter((int(b), *map(int, c)) for b, *c in zip(coded.data, *coded.contexts))
+    want = collections.Counter()
+    for text, kind in zip(texts, kinds):
+        line = b"".join(w + b" " for w in text.encode().split()) + b" "
+        for i, byte in enumerate(line):
+            past = (b" " + line[:i])[::-1]
+            last = [sum((past[k] + 1) << 9 * k for k in range(min(n, len(past)))) for n in range(1, 5)]
+            contexts = [mix(np.array([(last[n - 1] * 64 + p + (int(mix(np.array([kind + 1], np.uint64))[0]) if k else 0)) % 2**64], np.uint64))[0] for p, (n, k) in enumerate(PREDICTORS)]
+            want[byte, *map(int, contexts)] += 1
+    assert got == want
+
+
+def test_word_order_counts(spark):
+    """Texts of the same words in another order once had the same score."""
+    words = "amber birch cedar dune ember fjord grove heath inlet jetty".split()
+    texts = [" ".join(words[(i + j) % 10] for j in range(40)) for i in range(300)]
+    mixed = np.random.Generator(np.random.PCG64(5))
+    rows = [(i, t) for i, t in enumerate(texts) if not held(i)]
+    given = [i for i in range(300, 400) if held(i)]
+    rows += [(i, texts[0]) for i in given] + [(i + 1_000_000, " ".join(mixed.permutation(texts[0].split()))) for i in range(200) if held(i + 1_000_000)]
+    scores = {r["doc_id"]: r["score"] for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string"), slot_bits=16, kinds=1).collect()}
+    assert max(v for k, v in scores.items() if k >= 1_000_000) < min(scores[i] for i in given) - 1

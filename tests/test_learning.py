@@ -307,3 +307,31 @@ def test_fits_leave_no_shuffles_behind(spark):
         while files() & left and time.time() < until:
             time.sleep(0.2)
         assert not files() & left
+
+
+def test_blocks_grow_the_trees_of_spark(spark, monkeypatch):
+    """Trees from sums over blocks, in jobs or not, predict as Spark's own do on the same rows."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from shelfcast.operators import boosting
+
+    rows = spark.range(3_000).select(
+        ((F.col("id") * 37) % 101).cast("double").alias("a"), ((F.col("id") * 53) % 17).cast("double").alias("b"), "id"
+    )
+    rows = rows.withColumn("label", F.when(F.col("a") > 50, F.col("b") * 3).otherwise(F.col("a") / 7 - F.col("b")))
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).repartition(3)
+    settings = {"maxIter": 6, "maxDepth": 3, "featureSubsetStrategy": "1.0"}
+    want = models.tree_regressor(**settings).fit(rows)
+    local = fit_gbt(rows, **settings)
+    monkeypatch.setattr(boosting, "BLOCK", 500)
+    monkeypatch.setattr(boosting, "LOCAL_BLOCKS", 0)
+    for got in (local, fit_gbt(rows, **settings)):
+        assert got.getNumTrees == 6 and got.treeWeights == want.treeWeights
+        both = want.transform(rows).select("id", F.col("prediction").alias("want")).join(got.transform(rows), "id")
+        assert both.agg(F.max(F.abs(F.col("want") - F.col("prediction"))).alias("off")).first()["off"] < 1e-9
+        assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), abs=1e-9)
+        assert got.totalNumNodes == want.totalNumNodes and [t.depth for t in got.trees] == [t.depth for t in want.trees]
+    drawn = fit_gbt(rows, **settings, subsamplingRate=0.5, minInstancesPerNode=100)
+    assert drawn.transform(rows).agg(F.avg((F.col("label") - F.col("prediction")) ** 2).alias("e")).first()["e"] < 200
+    with pytest.raises(Exception, match="finite"):
+        fit_gbt(rows.withColumn("label", F.when(F.col("id") > 5, F.col("label"))), **settings)
